@@ -17,6 +17,11 @@ def _stripped(value: Column) -> Column:
     return F.regexp_replace(text, OUTER_SPACE, "")
 
 
+def _never_null(digest: Column) -> Column:
+    """State that a digest has a value, which saves joins a check that computes it again."""
+    return F.coalesce(digest, F.lit(""))
+
+
 def review_hash(
     asin: Column,
     user_id: Column,
@@ -43,7 +48,7 @@ def review_hash(
         F.concat(F.lit(("|" if i else "") + name + "="), value)
         for i, (name, value) in enumerate(parts.items())
     ]
-    return F.sha2(F.concat(*labelled), 256)
+    return _never_null(F.sha2(F.concat(*labelled), 256))
 
 
 def key_digest(keys: list[Column]) -> Column:
@@ -59,4 +64,5 @@ def key_digest(keys: list[Column]) -> Column:
         )
         for k in keys
     ]
-    return F.unhex(F.sha2(reduce(lambda a, b: F.concat(a, b), encoded), 256))
+    digest = F.sha2(reduce(lambda a, b: F.concat(a, b), encoded), 256)
+    return F.coalesce(F.unhex(digest), F.lit(b""))

@@ -38,25 +38,38 @@ def has_markup(text: Column) -> Column:
 
 
 def _decode_entities(text: Column) -> Column:
-    decoded = text
     for reference, character in ENTITIES:
-        decoded = F.replace(decoded, F.lit(reference), F.lit(character))
+        text = F.replace(text, F.lit(reference), F.lit(character))
     for reference in AMPERSAND_FORMS:
-        decoded = F.replace(decoded, F.lit(reference), F.lit("&"))
-    return F.when(F.contains(text, F.lit("&")), decoded).otherwise(text)
+        text = F.replace(text, F.lit(reference), F.lit("&"))
+    return text
+
+
+def _without_markup(text: Column) -> Column:
+    for pattern in INVISIBLE_AND_TAGS:
+        text = F.regexp_replace(text, pattern, " ")
+    return text
+
+
+def _where_references(raw: Column, decoded: Column, plain: Column) -> Column:
+    """Decoding is left out for texts without `&`. The test is on the raw text,
+    as a test on the stripped one would strip it a second time."""
+    return F.when(F.contains(raw, F.lit("&")), decoded).otherwise(plain)
 
 
 def strip_html(text: Column) -> Column:
     """Visible text: comments, scripts, styles and tags become spaces."""
-    visible = text
-    for pattern in INVISIBLE_AND_TAGS:
-        visible = F.regexp_replace(visible, pattern, " ")
-    return _decode_entities(visible)
+    visible = _without_markup(text)
+    return _where_references(text, _decode_entities(visible), visible)
 
 
 def clean_html(text: Column) -> Column:
-    """Decode character references first, then strip the markup."""
-    return strip_html(_decode_entities(text))
+    """Decode character references first, then strip the markup.
+
+    References that were escaped twice are decoded twice.
+    """
+    decoded = _decode_entities(_without_markup(_decode_entities(text)))
+    return _where_references(text, decoded, _without_markup(text))
 
 
 def normalize_review_text(text: Column) -> Column:

@@ -88,9 +88,9 @@ def sometimes_absent_fields(df: DataFrame) -> DataFrame:
 
 def field_presence(df: DataFrame) -> DataFrame:
     """(field, rows_present) of every field seen."""
+    sets = write_once(key_sets(df), "key-sets").data
     return (
-        key_sets(df)
-        .select(F.explode("key_set").alias("field"), "records")
+        sets.select(F.explode("key_set").alias("field"), "records")
         .groupBy("field")
         .agg(F.sum("records").alias("rows_present"))
     )

@@ -11,7 +11,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewsieve.fixed_values import REASONS
 from reviewsieve.functions import (
     clean_html,
     normalize_for_duplicate,
@@ -25,8 +24,8 @@ from reviewsieve.operators import dedupe, language, profiling, quality, schema,
 from reviewsieve.operators.language import LanguageModel
 from reviewsieve.operators.store import DedupeStore, known_hashes, new_hashes
 from reviewsieve.plans.increments import preprocess_increment
-from reviewsieve.plans.review_view import REVIEW_VIEW, reviews
-from reviewsieve.session import scratch_path
+from reviewsieve.plans.review_view import reviews
+from reviewsieve.session import scratch_path, spread, write_once
 from reviewsieve.sources import (
     append_clean,
     read_clean,
@@ -47,8 +46,11 @@ STREAM_FILES = 3
 _models: dict[tuple[str, str], LanguageModel] = {}
 
 
+KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "events": "event_id"}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), KEYS[name])
 
 
 def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +113,7 @@ def save_dataframe_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def append_clean_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches of one run, read back together."""
-    clean = clean_reviews(spark, sf_dir)
+    clean = write_once(clean_reviews(spark, sf_dir), "clean-rows").data
     path = scratch_path(spark, "clean")
     append_clean(clean.where("verified_purchase"), path, "load", 0)
     append_clean(clean.where("NOT verified_purchase"), path, "load", 1)
@@ -155,7 +157,8 @@ def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _hashed_and_stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """All clean reviews, and the hashes of those that are verified purchases."""
-    clean = clean_reviews(spark, sf_dir)
+    columns = ("ingest_seq", "review_hash", "verified_purchase")
+    clean = write_once(clean_reviews(spark, sf_dir).select(*columns), "clean-keys").data
     stored = clean.where("verified_purchase").select("review_hash").distinct()
     return clean.select("ingest_seq", "review_hash"), stored
 

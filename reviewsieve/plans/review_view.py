@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reviewsieve.session import spread
+
 REVIEW_VIEW = {
     "ingest_seq": "doc_id",
     "rating": """CASE length(text) % 13 WHEN 0 THEN '1' WHEN 1 THEN '2' WHEN 2 THEN '3'
@@ -30,5 +32,5 @@ REVIEW_VIEW = {
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id")
     return documents.selectExpr(*[f"{sql} AS {name}" for name, sql in REVIEW_VIEW.items()])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,9 @@ def build_session(master: str | None = None, **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Joins on a unique key hash the narrow side, where each of its partitions
+        # turns out small enough, and then need not sort whole reviews.
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
     )
     if master:
         builder = builder.master(master)
@@ -41,9 +45,12 @@ def scratch_root(spark: SparkSession) -> str:
         return configured.rstrip("/") + "/reviewsieve"
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="reviewsieve-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made + "/reviewsieve"
+    return _local_scratch(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_scratch(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"reviewsieve-{application}-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -63,6 +70,16 @@ def remove_path(spark: SparkSession, path: str) -> None:
     file_system.delete(hadoop_path, True)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give every core a share of an input that comes in fewer pieces than cores.
+
+    For a DataFrame read straight from files. Large inputs have more pieces than
+    that and are left alone, so only small ones are ever shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 @dataclass(frozen=True)
 class WrittenTable:
     """A DataFrame written once: short lineage, known size, survives executors."""

@@ -11,7 +11,7 @@ from reviewsieve.fixed_values import REASONS
 from reviewsieve.operators.language import LanguageModel
 from reviewsieve.operators.store import DedupeStore
 from reviewsieve.plans.increments import preprocess_increment
-from reviewsieve.session import path_exists
+from reviewsieve.session import path_exists, spread
 from reviewsieve.sources.readers import FILE_PLACE, numbered
 from reviewsieve.sources.writers import append_clean
 
@@ -72,7 +72,12 @@ def run_preprocess_stream(
         own_order = order in batch.columns
         rows = None if own_order else numbered(batch, order)
         increment = preprocess_increment(
-            batch if own_order else rows.data, store, model, run_id, batch_id, order=order
+            spread(batch, order) if own_order else rows.data,
+            store,
+            model,
+            run_id,
+            batch_id,
+            order=order,
         )
         clean = increment.clean if own_order else increment.clean.drop(order)
         append_clean(clean.drop(FILE_PLACE), out_path, run_id, batch_id)
