@@ -263,13 +263,14 @@ def queries() -> dict[str, Query]:
     def on_keyed(operator) -> Query:
         return lambda spark, sf_dir: operator(_keyed(spark, sf_dir))
 
-    def on_table(name: str, *columns) -> Query:
-        return lambda spark, sf_dir: _table(spark, sf_dir, name).select(*columns)
+    def on_text(table: str, text: str, function, result: str, *keys: str) -> Query:
+        return lambda spark, sf_dir: _table(spark, sf_dir, table).select(
+            *keys, function(F.col(text)).alias(result)
+        )
 
     def store_query(operator) -> Query:
         return lambda spark, sf_dir: operator(*_hashed_and_stored(spark, sf_dir))
 
-    col = F.col
     return {
         "s1_read_jsonl": read_jsonl_query,
         "s3_read_csv": read_csv_query,
@@ -300,41 +301,34 @@ def queries() -> dict[str, Query]:
         "p6_html_rate": on_reviews(profiling.html_rate),
         "p7_html_examples": on_reviews(profiling.html_examples),
         "p8_exploration_summary": on_reviews(profiling.exploration_summary),
-        "t1_normalize_whitespace": on_table(
-            "documents", "doc_id", normalize_whitespace(col("text")).alias("tidy_text")
-        ),
-        "t2_strip_html": on_table(
-            "pages", "page_id", strip_html(col("html")).alias("visible_text")
-        ),
-        "t3_clean_html": on_table(
-            "pages", "page_id", clean_html(col("html")).alias("visible_text")
+        "t1_normalize_whitespace": on_text(
+            "documents", "text", normalize_whitespace, "tidy_text", "doc_id"
         ),
+        "t2_strip_html": on_text("pages", "html", strip_html, "visible_text", "page_id"),
+        "t3_clean_html": on_text("pages", "html", clean_html, "visible_text", "page_id"),
         "t4_normalize_review_text": on_reviews(
             lambda df: df.select(
-                "ingest_seq", normalize_review_text(col("text")).alias("normalized_text")
+                "ingest_seq", normalize_review_text(F.col("text")).alias("normalized_text")
             )
         ),
-        "t4_normalize_page_text": on_table(
-            "pages", "page_id", normalize_review_text(col("html")).alias("normalized_text")
+        "t4_normalize_page_text": on_text(
+            "pages", "html", normalize_review_text, "normalized_text", "page_id"
         ),
-        "t5_normalize_for_duplicate": on_table(
-            "conversations",
-            "conv_id",
-            "turn",
-            normalize_for_duplicate(col("text")).alias("comparable_text"),
+        "t5_normalize_for_duplicate": on_text(
+            "conversations", "text", normalize_for_duplicate, "comparable_text", "conv_id", "turn"
         ),
         "t6_validate_rating": on_reviews(
             lambda df: df.select(
                 "ingest_seq",
-                col("rating").alias("raw_rating"),
-                validate_rating(col("rating")).alias("rating"),
+                F.col("rating").alias("raw_rating"),
+                validate_rating(F.col("rating")).alias("rating"),
             )
         ),
         "t7_review_hash": on_reviews(
             lambda df: df.select(
                 "ingest_seq",
                 review_hash(
-                    *[col(c) for c in ("asin", "user_id", "rating", "title", "text")]
+                    *[F.col(c) for c in ("asin", "user_id", "rating", "title", "text")]
                 ).alias("review_hash"),
             )
         ),
@@ -342,7 +336,7 @@ def queries() -> dict[str, Query]:
             _table(spark, sf_dir, "documents")
         ),
         "l1_detect_language": lambda spark, sf_dir: language.detect_language(
-            _table(spark, sf_dir, "documents").select(col("doc_id").alias("ingest_seq"), "text"),
+            _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ingest_seq"), "text"),
             "text",
             trained_model(spark, sf_dir),
         ).select("ingest_seq", "language"),
