@@ -19,6 +19,9 @@ from reviewsieve.session import WrittenTable, write_once
 # A model holds one weight column per language.
 MAX_LANGUAGES = 200
 
+# Words whose weights are looked up as a whole, a few megabytes to broadcast.
+FREQUENT_WORDS = 50_000
+
 # Every position of a word, one code point at a time, with the three characters
 # that start there.
 TRIGRAM = "(?=(.{3}))."
@@ -30,32 +33,27 @@ def letters_only(text: Column) -> Column:
 
 
 def _words(text: Column) -> Column:
-    return F.explode(F.split(letters_only(text), " "))
+    return F.split(letters_only(text), " ")
 
 
 def _trigrams(word: Column) -> Column:
     padded = F.concat(F.lit(" "), word, F.lit(" "))
-    return F.explode(F.regexp_extract_all(padded, F.lit(TRIGRAM), 1))
+    return F.regexp_extract_all(padded, F.lit(TRIGRAM), 1)
 
 
-def build_language_profiles(
-    labeled: DataFrame, k: int = PROFILE_SIZE, text_col: str = "text", lang_col: str = "lang"
-) -> DataFrame:
-    """The `k` most frequent trigrams of each language with their rank.
-
-    Counting words first keeps the shuffles at the size of the vocabulary.
-    The rank filter is applied before the last shuffle as well, so no task
-    holds more than `k` trigrams of a language per input partition.
-    """
-    words = (
+def _word_counts(labeled: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    return (
         labeled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-        .select(F.col(lang_col).alias("lang"), _words(F.col(text_col)).alias("word"))
+        .select(F.col(lang_col).alias("lang"), F.explode(_words(F.col(text_col))).alias("word"))
         .where("word <> ''")
         .groupBy("lang", "word")
         .agg(F.count(F.lit(1)).alias("uses"))
     )
+
+
+def _profiles(word_counts: DataFrame, k: int) -> DataFrame:
     grams = (
-        words.select("lang", "uses", _trigrams(F.col("word")).alias("gram"))
+        word_counts.select("lang", "uses", F.explode(_trigrams(F.col("word"))).alias("gram"))
         .groupBy("lang", "gram")
         .agg(F.sum("uses").alias("uses"))
     )
@@ -67,37 +65,83 @@ def build_language_profiles(
     )
 
 
+def build_language_profiles(
+    labeled: DataFrame, k: int = PROFILE_SIZE, text_col: str = "text", lang_col: str = "lang"
+) -> DataFrame:
+    """The `k` most frequent trigrams of each language with their rank.
+
+    Counting words first keeps the shuffles at the size of the vocabulary.
+    The rank filter is applied before the last shuffle as well, so no task
+    holds more than `k` trigrams of a language per input partition.
+    """
+    return _profiles(_word_counts(labeled, text_col, lang_col), k)
+
+
 @dataclass(frozen=True)
 class LanguageModel:
-    """Profile weights, one row per trigram and one column per language."""
+    """Weights per language of trigrams, and their sums for frequent words.
+
+    Both tables have one column per language. A word in `words` weighs what its
+    trigrams weigh together, so looking it up changes the cost, not the result.
+    """
 
     weights: WrittenTable
+    words: WrittenTable
     languages: tuple[str, ...]
 
 
-def language_model(profiles: DataFrame, k: int = PROFILE_SIZE) -> LanguageModel:
-    """Turn ranked profiles into a table of weights.
+def _weight_columns(languages: tuple[str, ...], prefix: str) -> list[str]:
+    return [f"{prefix}{i}" for i in range(len(languages))]
+
+
+def train_language_model(
+    labeled: DataFrame,
+    k: int = PROFILE_SIZE,
+    frequent_words: int = FREQUENT_WORDS,
+    text_col: str = "text",
+    lang_col: str = "lang",
+) -> LanguageModel:
+    """Profiles of the labelled text, as a table of weights.
 
     A trigram of rank r weighs k + 1 - r, an unknown one nothing. The language
     with the highest sum is the one with the lowest sum of ranks when unknown
     trigrams are charged k + 1.
     """
-    written = write_once(profiles, "profiles").data
-    found = written.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()
+    counts = write_once(_word_counts(labeled, text_col, lang_col), "word-counts").data
+    profiles = write_once(_profiles(counts, k), "profiles").data
+    found = profiles.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()
     if not found:
         raise ValueError("the labelled text holds no words to build a profile from")
     if len(found) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages in the labelled text")
     languages = tuple(sorted(row.lang for row in found))
-    weights = written.groupBy("gram").agg(
-        *[
-            F.coalesce(F.sum(F.when(F.col("lang") == lang, k + 1 - F.col("rank"))), F.lit(0))
-            .cast("long")
-            .alias(f"w{i}")
-            for i, lang in enumerate(languages)
-        ]
+    of_gram, of_word = _weight_columns(languages, "g"), _weight_columns(languages, "w")
+
+    def weight(lang: str) -> Column:
+        return F.sum(F.when(F.col("lang") == lang, k + 1 - F.col("rank")))
+
+    weights = write_once(
+        profiles.groupBy("gram").agg(
+            *[
+                F.coalesce(weight(lang), F.lit(0)).cast("long").alias(g)
+                for lang, g in zip(languages, of_gram)
+            ]
+        ),
+        "gram-weights",
+    )
+    frequent = (
+        counts.groupBy("word")
+        .agg(F.sum("uses").alias("uses"))
+        .orderBy(F.desc("uses"), F.asc("word"))
+        .limit(frequent_words)
+    )
+    words = (
+        frequent.select("word", F.explode(_trigrams(F.col("word"))).alias("gram"))
+        .join(weights.sized_for_join(), "gram", "left")
+        .groupBy("word")
+        .agg(*[F.coalesce(F.sum(g), F.lit(0)).alias(w) for g, w in zip(of_gram, of_word)])
     )
-    return LanguageModel(write_once(weights, "language-weights"), languages)
+    return LanguageModel(weights, write_once(words, "word-weights"), languages)
 
 
 def language_scores(
@@ -105,23 +149,30 @@ def language_scores(
 ) -> DataFrame:
     """(key, language) of each text with at least one known trigram.
 
-    Trigrams are summed up per key before the shuffle, which then moves about
-    one small row per text.
+    A frequent word is looked up as a whole; only other words are taken apart
+    into trigrams. Weights are summed up per key before the shuffle, which then
+    moves about one small row per text.
     """
-    columns = [f"w{i}" for i in range(len(model.languages))]
+    of_gram = _weight_columns(model.languages, "g")
+    of_word = _weight_columns(model.languages, "w")
+    frequent, known = F.col(of_word[0]).isNotNull(), F.col(of_gram[0]).isNotNull()
+    words = texts.select(key, F.explode(_words(F.col(text_col))).alias("word")).join(
+        model.words.sized_for_join(), "word", "left"
+    )
+    grams = F.when(~frequent, _trigrams(F.col("word")))
     sums = (
-        texts.select(key, _words(F.col(text_col)).alias("word"))
-        .select(key, _trigrams(F.col("word")).alias("gram"))
-        .join(model.weights.sized_for_join(), "gram")
+        words.select(key, *of_word, F.explode_outer(grams).alias("gram"))
+        .join(model.weights.sized_for_join(), "gram", "left")
+        .where(frequent | known)
         .groupBy(key)
-        .agg(*[F.sum(c).alias(c) for c in columns])
+        .agg(*[F.sum(F.coalesce(w, g)).alias(w) for w, g in zip(of_word, of_gram)])
     )
-    best = F.greatest(*columns) if len(columns) > 1 else F.col(columns[0])
+    best = F.greatest(*of_word) if len(of_word) > 1 else F.col(of_word[0])
     # Languages are in alphabetical order, so a tie goes to the first of them.
     language = F.coalesce(
-        *[F.when(F.col(c) == best, F.lit(lang)) for c, lang in zip(columns, model.languages)]
+        *[F.when(F.col(w) == best, F.lit(lang)) for w, lang in zip(of_word, model.languages)]
     )
-    return sums.select(key, language.alias("language"))
+    return sums.where(best > 0).select(key, language.alias("language"))
 
 
 def detect_language(

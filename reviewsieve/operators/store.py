@@ -82,12 +82,14 @@ def known_keys(keys: WrittenTable, stored: DataFrame, hash_col: str = "review_ha
     """The subset of unique `keys` that `stored` holds.
 
     The smaller side is the batch. When its counted size allows, it is
-    broadcast to the scan of the store, which then needs no shuffle.
+    broadcast to the scan of the store, which then needs no shuffle, and so is
+    the result, which cannot be larger.
     """
     batch = keys.data.select(F.col(hash_col).alias("review_hash"))
     if keys.rows > BROADCAST_ROWS:
         return batch.join(stored, "review_hash", "left_semi")
-    return stored.join(F.broadcast(batch), "review_hash", "left_semi").distinct()
+    found = stored.join(F.broadcast(batch), "review_hash", "left_semi").distinct()
+    return F.broadcast(found)
 
 
 def _hash_groups(df: DataFrame, hash_col: str, order: str) -> WrittenTable:
@@ -113,7 +115,7 @@ def new_hashes(
 ) -> DataFrame:
     """Hashes that an insert of `df` would add, each with the row it comes from."""
     groups = _hash_groups(df, hash_col, order)
-    known = write_once(known_keys(groups, stored), "known-keys")
-    return groups.data.join(known.sized_for_join(), "review_hash", "left_anti").select(
+    known = known_keys(groups, stored)
+    return groups.data.join(known, "review_hash", "left_anti").select(
         "review_hash", F.col("_first").alias(order)
     )

@@ -63,8 +63,7 @@ def trained_model(spark: SparkSession, sf_dir: str) -> LanguageModel:
     """Model from the labelled documents, trained once per session and folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _models:
-        profiles = language.build_language_profiles(_table(spark, sf_dir, "documents"))
-        _models[key] = language.language_model(profiles)
+        _models[key] = language.train_language_model(_table(spark, sf_dir, "documents"))
     return _models[key]
 
 
@@ -74,7 +73,8 @@ def clean_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid reviews without duplicates."""
-    return dedupe.drop_duplicate_reviews(clean_reviews(spark, sf_dir))
+    model = trained_model(spark, sf_dir)
+    return preprocess_increment(reviews(spark, sf_dir), None, model).clean
 
 
 # --- Sources and sinks -----------------------------------------------------------------

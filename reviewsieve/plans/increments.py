@@ -62,10 +62,10 @@ def decide_reviews(
 
 def preprocess_increment(
     df: DataFrame,
-    store: DedupeStore,
+    store: DedupeStore | None,
     model: LanguageModel | None,
-    run_id: str,
-    batch_id: int,
+    run_id: str = "",
+    batch_id: int = 0,
     text_col: str = "text",
     rating_col: str = "rating",
     order: str = "ingest_seq",
@@ -73,7 +73,8 @@ def preprocess_increment(
     """Clean rows of a batch that no earlier batch has stored.
 
     Hashes stored by this very batch do not count as known, so a batch that
-    failed half-way gives the same result when it is tried again.
+    failed half-way gives the same result when it is tried again. Without a
+    store, only repeats within the batch are dropped.
     """
     decided = write_once(decide_reviews(df, model, text_col, rating_col, order), "decided")
     firsts = write_once(
@@ -82,10 +83,11 @@ def preprocess_increment(
         .agg(F.min(order).alias(order)),
         "first-of-hash",
     )
-    known = write_once(known_keys(firsts, store.hashes(run_id, batch_id)), "known")
-    fresh = write_once(
-        firsts.data.join(known.sized_for_join(), "review_hash", "left_anti"), "fresh"
-    )
+    tables, fresh = (decided, firsts), firsts
+    if store is not None:
+        known = known_keys(firsts, store.hashes(run_id, batch_id))
+        fresh = write_once(firsts.data.join(known, "review_hash", "left_anti"), "fresh")
+        tables = (decided, firsts, fresh)
     kept = df.join(fresh.sized_for_join(), order)
     clean = kept.withColumns(
         {
@@ -95,6 +97,4 @@ def preprocess_increment(
         }
     ).select(*df.columns, "text_normalized", "title_normalized", "review_hash")
     stats = pipeline_stats(decided.data, F.lit(fresh.rows))
-    return Increment(
-        clean, fresh.data.select("review_hash"), stats, (decided, firsts, known, fresh)
-    )
+    return Increment(clean, fresh.data.select("review_hash"), stats, tables)

@@ -24,6 +24,8 @@ def build_session(master: str | None = None, **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Call sites of every column function are not worth the planning time.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         # Joins on a unique key hash the narrow side, where each of its partitions
         # turns out small enough, and then need not sort whole reviews.
         .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")

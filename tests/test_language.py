@@ -6,7 +6,7 @@ from reviewsieve.operators.language import (
     build_language_profiles,
     detect_language,
     language_filter,
-    language_model,
+    train_language_model,
 )
 from tests.conftest import SF
 
@@ -18,10 +18,9 @@ TRAINING = [
 ]
 
 
-def small_model(spark, k=300):
-    return language_model(
-        build_language_profiles(spark.createDataFrame(TRAINING, "lang string, text string"), k), k
-    )
+def small_model(spark, k=300, frequent_words=5):
+    labeled = spark.createDataFrame(TRAINING, "lang string, text string")
+    return train_language_model(labeled, k, frequent_words)
 
 
 def trigrams(text):
@@ -45,7 +44,6 @@ def test_profiles_equal_brute_force(spark):
 
 def test_detection_equals_brute_force(spark):
     k = 40
-    model = small_model(spark, k)
     ranks = {
         (r.lang, r.gram): r["rank"]
         for r in build_language_profiles(
@@ -63,8 +61,10 @@ def test_detection_equals_brute_force(spark):
         return min(x for x in scores if scores[x] == best) if best else None
 
     df = spark.createDataFrame(list(enumerate(texts)), "ingest_seq long, text string")
-    got = {r.text: r.language for r in detect_language(df, "text", model).collect()}
-    assert got == {t: want(t) for t in texts}
+    for frequent_words in (0, 5, 1000):
+        model = small_model(spark, k, frequent_words)
+        got = {r.text: r.language for r in detect_language(df, "text", model).collect()}
+        assert got == {t: want(t) for t in texts}
 
 
 def test_undetectable_empty_and_disabled(spark):
@@ -89,7 +89,7 @@ def test_undetectable_empty_and_disabled(spark):
 
 def test_accuracy_on_held_out_documents(spark):
     documents = spark.read.parquet(f"{SF}/documents.parquet")
-    model = language_model(build_language_profiles(documents.where("doc_id % 2 = 0")))
+    model = train_language_model(documents.where("doc_id % 2 = 0"))
     held_out = documents.where("doc_id % 2 = 1").select(
         F.col("doc_id").alias("ingest_seq"), "text", "lang"
     )
