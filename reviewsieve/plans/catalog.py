@@ -36,7 +36,7 @@ from reviewsieve.sources import (
     read_uploaded_data,
     save_dataframe,
 )
-from reviewsieve.streaming import read_stats, run_preprocess_stream
+from reviewsieve.streaming import read_stats, run_preprocess_stream, stream_progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,7 +46,7 @@ STREAM_FILES = 3
 _models: dict[tuple[str, str], LanguageModel] = {}
 
 
-KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id", "events": "event_id"}
+KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -130,8 +130,16 @@ def _joined_keys(sets: DataFrame) -> DataFrame:
     return sets.withColumn("key_set", F.array_join("key_set", ","))
 
 
+def absent_label_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their labels, which only some of them have."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "source")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return schema.sometimes_absent_fields(documents.join(labels, "doc_id", "left"))
+
+
 def event_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profiling.rating_distribution(_table(spark, sf_dir, "events"), "event_type")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    return profiling.rating_distribution(events, "event_type")
 
 
 # --- Validation ------------------------------------------------------------------------
@@ -256,10 +264,18 @@ def stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals.drop("chunks_processed")
 
 
+def progress_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, stats = _streamed(spark, sf_dir)
+    return stream_progress(read_stats(spark, stats, "stream"))
+
+
 def queries() -> dict[str, Query]:
     def on_reviews(operator) -> Query:
         return lambda spark, sf_dir: operator(reviews(spark, sf_dir))
 
+    def on_scan(operator) -> Query:
+        return lambda spark, sf_dir: operator(reviews(spark, sf_dir, heavy=False))
+
     def on_keyed(operator) -> Query:
         return lambda spark, sf_dir: operator(_keyed(spark, sf_dir))
 
@@ -276,30 +292,31 @@ def queries() -> dict[str, Query]:
         "s3_read_csv": read_csv_query,
         "s4_read_reviews": read_reviews_query,
         "s5_read_uploaded_data": read_uploaded_query,
-        "s7_first_rows": on_reviews(lambda df: profiling.first_rows(df, 10_000)),
+        "s7_first_rows": on_scan(lambda df: profiling.first_rows(df, 10_000)),
         "s8_save_dataframe": save_dataframe_query,
         "s9_append_clean": append_clean_query,
         "c2_key_sets": on_reviews(lambda df: _joined_keys(schema.key_sets(df))),
         "c2_event_key_sets": lambda spark, sf_dir: _joined_keys(
-            schema.key_sets(_table(spark, sf_dir, "events"))
+            schema.key_sets(spark.read.parquet(f"{sf_dir}/events.parquet"))
         ),
         "c3_schema_summary": on_reviews(schema.schema_summary),
         "c4_top_key_sets": on_reviews(lambda df: _joined_keys(schema.top_key_sets(df))),
         "c5_sometimes_absent_fields": on_reviews(schema.sometimes_absent_fields),
+        "c5_absent_label_fields": absent_label_fields,
         "c6_known_fields": on_reviews(schema.known_fields),
         "c6_classify_dataset": on_reviews(schema.classify_dataset),
-        "p1_rating_distribution": on_reviews(profiling.rating_distribution),
+        "p1_rating_distribution": on_scan(profiling.rating_distribution),
         "p1_event_distribution": event_distribution,
         "p2_text_missing_stats": on_reviews(profiling.text_missing_stats),
-        "p3_column_null_counts": on_reviews(profiling.column_null_counts),
-        "p4_seeded_sample": on_reviews(
+        "p3_column_null_counts": on_scan(profiling.column_null_counts),
+        "p4_seeded_sample": on_scan(
             lambda df: profiling.seeded_sample(df.select("ingest_seq", "asin", "text"), 100)
         ),
         "p5_language_estimate": lambda spark, sf_dir: profiling.language_estimate(
             reviews(spark, sf_dir), trained_model(spark, sf_dir)
         ),
-        "p6_html_rate": on_reviews(profiling.html_rate),
-        "p7_html_examples": on_reviews(profiling.html_examples),
+        "p6_html_rate": on_scan(profiling.html_rate),
+        "p7_html_examples": on_scan(profiling.html_examples),
         "p8_exploration_summary": on_reviews(profiling.exploration_summary),
         "t1_normalize_whitespace": on_text(
             "documents", "text", normalize_whitespace, "tidy_text", "doc_id"
@@ -317,7 +334,7 @@ def queries() -> dict[str, Query]:
         "t5_normalize_for_duplicate": on_text(
             "conversations", "text", normalize_for_duplicate, "comparable_text", "conv_id", "turn"
         ),
-        "t6_validate_rating": on_reviews(
+        "t6_validate_rating": on_scan(
             lambda df: df.select(
                 "ingest_seq",
                 F.col("rating").alias("raw_rating"),
@@ -382,4 +399,5 @@ def queries() -> dict[str, Query]:
         "q4_reconcile": reconcile_query,
         "x1_stream_clean": stream_clean,
         "x2_stream_totals": stream_totals,
+        "x2_stream_progress": progress_query,
     }

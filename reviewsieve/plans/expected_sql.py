@@ -292,6 +292,17 @@ def expected() -> dict[str, str]:
                 SELECT key_set FROM key_sets
                 ORDER BY records DESC, string_split(key_set, ',') LIMIT 1)""",
         ),
+        "c5_absent_label_fields": _with(
+            [
+                "labelled AS (SELECT * FROM documents LEFT JOIN labels USING (doc_id))",
+                _key_sets("labelled", ["doc_id", "lang", "quality", "source", "toxic"]),
+            ],
+            """SELECT unnest(string_split(key_set, ',')) AS field FROM key_sets
+            EXCEPT
+            SELECT unnest(string_split(key_set, ',')) FROM (
+                SELECT key_set FROM key_sets
+                ORDER BY records DESC, string_split(key_set, ',') LIMIT 1)""",
+        ),
         "c6_known_fields": _with([*REVIEW_KEY_SETS, KNOWN_FIELDS], "SELECT * FROM known"),
         "c6_classify_dataset": _with(
             [*REVIEW_KEY_SETS, KNOWN_FIELDS],

@@ -31,6 +31,9 @@ REVIEW_VIEW = {
 }
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spread(spark.read.parquet(f"{sf_dir}/documents.parquet"), "doc_id")
+def reviews(spark: SparkSession, sf_dir: str, heavy: bool = True) -> DataFrame:
+    """The view; `heavy` work on it is spread over all cores even if the file is small."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    if heavy:
+        documents = spread(documents, "doc_id")
     return documents.selectExpr(*[f"{sql} AS {name}" for name, sql in REVIEW_VIEW.items()])

@@ -1,5 +1,5 @@
 """Incremental processing with Structured Streaming."""
 
-from reviewsieve.streaming.runner import read_stats, run_preprocess_stream
+from reviewsieve.streaming.runner import read_stats, run_preprocess_stream, stream_progress
 
-__all__ = ["read_stats", "run_preprocess_stream"]
+__all__ = ["read_stats", "run_preprocess_stream", "stream_progress"]

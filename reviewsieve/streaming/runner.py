@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
@@ -43,6 +43,18 @@ def read_stats(spark: SparkSession, path: str, run_id: str | None = None) -> Dat
     return rows if run_id is None else rows.where(F.col("run_id") == run_id)
 
 
+def stream_progress(stats: DataFrame) -> DataFrame:
+    """Rows read and clean rows so far, after each increment of each run."""
+    so_far = Window.partitionBy("run_id").orderBy("batch_id")
+    return stats.select(
+        "run_id",
+        "batch_id",
+        "input_records",
+        F.sum("input_records").over(so_far).alias("input_so_far"),
+        F.sum("clean_records").over(so_far).alias("clean_so_far"),
+    )
+
+
 def run_preprocess_stream(
     source: DataFrame,
     out_path: str,

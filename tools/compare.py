@@ -16,7 +16,7 @@ import duckdb  # noqa: E402
 from reviewsieve.plans import catalog, expected_sql  # noqa: E402
 from reviewsieve.session import build_session  # noqa: E402
 
-TABLES = ("documents", "pages", "conversations", "events")
+TABLES = ("documents", "pages", "conversations", "events", "labels")
 
 
 def rows_of(columns, rows):
@@ -51,6 +51,9 @@ def main() -> int:
             got = rows_of(df.columns, df.collect())
             spark_seconds = time.time() - start
             start = time.time()
+            if name not in expected:
+                print(f"rows {name} {len(got)} spark {spark_seconds:.2f}s", flush=True)
+                continue
             cursor = db.execute(expected[name])
             columns = [c[0] for c in cursor.description]
             want = rows_of(columns, cursor.fetchall())
