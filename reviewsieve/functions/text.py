@@ -23,7 +23,7 @@ INVISIBLE_AND_TAGS = (
     r"(?s)<!--.*?-->",
     r"(?is)<script\b.*?(?:</script\s*>|\z)",
     r"(?is)<style\b.*?(?:</style\s*>|\z)",
-    r"</?[A-Za-z][^>]*>|<![^>]*>",
+    r"<[A-Za-z/!?][^>]*>",
 )
 
 

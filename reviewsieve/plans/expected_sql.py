@@ -53,7 +53,7 @@ def strip(x: str) -> str:
         r"(?s)<!--.*?-->",
         r"(?is)<script\b.*?(?:</script\s*>|\z)",
         r"(?is)<style\b.*?(?:</style\s*>|\z)",
-        r"</?[A-Za-z][^>]*>|<![^>]*>",
+        r"<[A-Za-z/!?][^>]*>",
     ):
         x = f"regexp_replace({x}, '{pattern}', ' ', 'g')"
     return decode(x)

@@ -80,16 +80,32 @@ def read_jsonl(
 
 
 def _roots(spark: SparkSession, path: str) -> DataFrame:
-    """(file, first_line, lines) of each file, from the lines that hold text."""
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
-        F.trim(F.regexp_replace("value", r"[\s﻿]+", " ")).alias("line"),
+    """About each file: its first character, whether its first line is a whole
+    object, and its number of lines. Blank lines do not count."""
+    line = F.regexp_replace("value", r"^[\s\uFEFF]+", "")
+    lines = (
+        spark.read.text(path)
+        .select(
+            F.col("_metadata.file_path").alias("file"),
+            F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
+            line.alias("line"),
+        )
+        .where("line <> ''")
     )
+    # Only these small values are aggregated: a line may be a whole document.
     return (
-        lines.where("line <> ''")
+        lines.select(
+            "file",
+            "place",
+            F.substring("line", 1, 1).alias("start"),
+            F.json_object_keys("line").isNotNull().alias("whole"),
+        )
         .groupBy("file")
-        .agg(F.min_by("line", "place").alias("first_line"), F.count(F.lit(1)).alias("lines"))
+        .agg(
+            F.min_by("start", "place").alias("kind"),
+            F.min_by("whole", "place").alias("starts_with_object"),
+            F.count(F.lit(1)).alias("lines"),
+        )
     )
 
 
@@ -107,11 +123,10 @@ def read_json_document(
     items of that list, any other object is one row. Files are read in
     parallel, each by one task. `schema` describes the rows.
     """
-    kind = F.substring("first_line", 1, 1)
     roots = {
         row.kind: row.files
         for row in _roots(spark, path)
-        .groupBy(kind.alias("kind"))
+        .groupBy("kind")
         .agg(F.collect_list("file").alias("files"))
         .collect()
     }
@@ -179,8 +194,8 @@ def read_reviews(
 
 def _is_lines_layout(spark: SparkSession, path: str) -> bool:
     """True when every file has several lines and starts with a complete object."""
-    whole_object = F.json_object_keys("first_line").isNotNull() & (F.col("lines") > 1)
-    return bool(_roots(spark, path).agg(F.bool_and(whole_object)).first()[0])
+    as_lines = F.col("starts_with_object") & (F.col("lines") > 1)
+    return bool(_roots(spark, path).agg(F.bool_and(as_lines)).first()[0])
 
 
 def read_uploaded_data(

@@ -62,6 +62,8 @@ def test_markup_is_stripped_only_where_there_is_some(column):
         "x<script>var a = '</p>';</script >y": "x y",
         "x<STYLE>p {}</style>y": "x y",
         "x<script>never closed": "x",
+        "<!DOCTYPE html><?xml version='1'?>x</ b>y": "x y",
+        "<p>2 < 3 and <b": "2 < 3 and <b",
         "<p>a&nbsp;&middot;&nbsp;b</p>": "a · b",
         None: "",
         "": "",
