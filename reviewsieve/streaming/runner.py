@@ -11,7 +11,7 @@ from reviewsieve.fixed_values import REASONS
 from reviewsieve.operators.language import LanguageModel
 from reviewsieve.operators.store import DedupeStore
 from reviewsieve.plans.increments import preprocess_increment
-from reviewsieve.session import path_exists, spread
+from reviewsieve.session import path_exists, spread, write_once
 from reviewsieve.sources.readers import FILE_PLACE, numbered
 from reviewsieve.sources.writers import append_clean
 
@@ -81,23 +81,20 @@ def run_preprocess_stream(
         raise ValueError(f"Run '{run_id}' has output already; a new checkpoint needs a new run.")
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        own_order = order in batch.columns
-        rows = None if own_order else numbered(batch, order)
-        increment = preprocess_increment(
-            spread(batch, order) if own_order else rows.data,
-            store,
-            model,
-            run_id,
-            batch_id,
-            order=order,
-        )
-        clean = increment.clean if own_order else increment.clean.drop(order)
-        append_clean(clean.drop(FILE_PLACE), out_path, run_id, batch_id)
+        # Parsed once: the increment reads its rows several times.
+        if order in batch.columns:
+            rows = write_once(spread(batch, order), "batch")
+        else:
+            rows = numbered(batch, order)
+        increment = preprocess_increment(rows.data, store, model, run_id, batch_id, order=order)
+        clean = increment.clean.drop(FILE_PLACE)
+        if order not in batch.columns:
+            clean = clean.drop(order)
+        append_clean(clean, out_path, run_id, batch_id)
         store.insert(increment.hashes, run_id, batch_id)
         _append_stats(increment.stats, stats_path, run_id, batch_id)
         increment.release()
-        if rows is not None:
-            rows.remove()
+        rows.remove()
 
     return (
         source.writeStream.foreachBatch(process)
