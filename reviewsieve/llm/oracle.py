@@ -49,5 +49,43 @@ FROM docs LEFT JOIN marked USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+def _given(nodes: str, parent: str, order: str) -> str:
+    """Shares of the budget of a parent among its children, by weight and up to their room."""
+    return f"""
+  SELECT * EXCLUDE (ratio, lev, f), CASE WHEN f THEN CAST(room AS DOUBLE) ELSE weight * first_value(lev) OVER (PARTITION BY {parent}, f ORDER BY ratio, {order}) END AS given
+  FROM (SELECT *, coalesce(ratio <= lev, true) AS f FROM (
+    SELECT *, (budget - coalesce(sum(room) OVER b, 0)) / (sum(weight) OVER (PARTITION BY {parent}) - coalesce(sum(weight) OVER b, 0)) AS lev
+    FROM (SELECT *, room / weight AS ratio FROM {nodes})
+    WINDOW b AS (PARTITION BY {parent} ORDER BY ratio, {order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))"""
+
+
+OP10 = f"""
+WITH rows AS (
+  SELECT doc_id, lang, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS n_tokens,
+    CASE WHEN source IN ('src0','src1','src2','src3','src4','src5','src6','src7','src8','src9') THEN 'web'
+      WHEN source IN ('src10','src11','src12','src13','src14') THEN 'books' WHEN source IN ('src15','src16','src17') THEN 'reference' ELSE 'other' END AS domain
+  FROM documents
+), leaves AS (
+  SELECT domain, lang, source, CAST(sum(n_tokens) AS BIGINT) AS tokens, CAST(4 * sum(n_tokens) AS BIGINT) AS room, CAST(1 AS BIGINT) AS weight FROM rows GROUP BY ALL
+), langs AS (SELECT domain, lang, CAST(sum(room) AS BIGINT) AS room, CASE lang WHEN 'en' THEN 5 WHEN 'de' THEN 2 WHEN 'es' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END AS weight FROM leaves GROUP BY ALL),
+domains AS (
+  SELECT domain, CAST(sum(room) AS BIGINT) AS room, CASE domain WHEN 'web' THEN 4 WHEN 'books' THEN 3 WHEN 'reference' THEN 2 ELSE 1 END AS weight,
+    0 AS root, (SELECT CAST(trunc(sum(n_tokens) * 0.6::DOUBLE) AS DOUBLE) FROM rows) AS budget
+  FROM langs GROUP BY domain
+), d AS ({_given("domains", "root", "domain")}),
+l AS ({_given("(SELECT langs.*, d.given AS budget FROM langs JOIN d USING (domain))", "domain", "lang")}),
+s AS ({_given("(SELECT leaves.*, l.given AS budget FROM leaves JOIN l USING (domain, lang))", "domain, lang", "source")}),
+plan AS (
+  SELECT domain, lang, source, tokens, CAST(floor(given) AS BIGINT) AS budget, CASE WHEN tokens > 0 THEN CAST(floor(given) AS BIGINT) // tokens ELSE 0 END AS epochs FROM s
+), placed AS (
+  SELECT doc_id, domain, lang, source, n_tokens, budget, epochs, budget - epochs * tokens AS rest, md5('17:' || epochs || ':' || doc_id) AS place
+  FROM rows JOIN plan USING (domain, lang, source)
+)
+SELECT doc_id, domain, lang, source, n_tokens, budget,
+  epochs + CASE WHEN sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place) <= rest THEN 1 ELSE 0 END AS copies
+FROM placed
+"""
+
+
 def expected() -> dict[str, str]:
-    return {"op4_superminhash": OP4, "op6_decontamination": OP6}
+    return {"op4_superminhash": OP4, "op6_decontamination": OP6, "op10_mixing": OP10}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewsieve.llm import decontaminate, license_scan, sharding, superminhash
+from reviewsieve.llm import decontaminate, license_scan, mixing, quality_mcd, sharding, superminhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op2_quality_mcd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_mcd.quality_verdicts(_table(spark, sf_dir, "documents"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
 
@@ -39,5 +43,9 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}

@@ -231,3 +231,22 @@ def near_duplicates(
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
         .withColumnRenamed("doc_id", id_col)
     )
+
+
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = SIMILARITY) -> DataFrame:
+    """One document of each group of near duplicates, that of the smallest id, with all its columns.
+
+    Of several rows of one id, which are one document, that with the smallest MD5 of its text stays. Rows with a null
+    id all stay, as do texts without words unless they share an id.
+    """
+    groups = write_once(near_duplicates(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), percent=percent), "groups")
+    gone = write_once(groups.data.where("NOT kept").select(F.col("doc_id").alias(id_col)).distinct(), "gone")
+    repeated = write_once(groups.data.where("kept AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias(id_col)).agg(F.count("*").alias("n")).where("n > 1").select(id_col), "repeated")
+    kept = docs.join(gone.sized_for_join(), id_col, "left_anti")
+    if repeated.rows:
+        several = kept.join(repeated.sized_for_join(), id_col, "left_semi")
+        whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        one = several.groupBy(F.col(id_col).alias("_id")).agg(F.min_by(whole, F.coalesce(F.md5(F.col(text_col).cast("binary")), F.lit(""))).alias("whole"))
+        kept = kept.join(repeated.sized_for_join(), id_col, "left_anti").unionByName(one.select("whole.*"))
+    groups.remove()
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
