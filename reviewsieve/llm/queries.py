@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewsieve.llm import decontaminate, license_scan, mixing, quality_mcd, sharding, superminhash, url_aliases, warc_zstd
+from reviewsieve.llm import decontaminate, fuzzy_lines, license_scan, mixing, quality_mcd, sharding, superminhash, url_aliases, warc_zstd
 from reviewsieve.session import scratch_path
 
 
@@ -49,6 +49,10 @@ def op7_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.fuzzy_line_report(_table(spark, sf_dir, "documents"))
+
+
 def op9_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     edges = url_aliases.link_edges(pages).union(url_aliases.rewrite_edges(pages))

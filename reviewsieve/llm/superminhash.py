@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewsieve.llm.common import folded_words, join_unique, mix64, shingle_hashes, utf8
-from reviewsieve.llm.components import connected_components
+from reviewsieve.llm.components import connected_components, linked_groups
 from reviewsieve.session import WrittenTable, write_once
 
 SHINGLE = 5
@@ -143,55 +143,6 @@ def _verify(pairs: DataFrame, texts: DataFrame, percent: int) -> WrittenTable:
     return write_once(joined.select("a", "b", "text_a", "text_b").mapInArrow(work, schema).distinct(), "links")
 
 
-def _links(members: DataFrame, texts: DataFrame, documents: int, percent: int, left_over: int) -> WrittenTable:
-    """Components of the nodes of the buckets (band, node).
-
-    No pair of a bucket that could join two components is left untested. Each bucket is tested as a
-    star around its most central node, which then leaves it: all its pairs are known. So a group of n
-    near copies costs about n comparisons. As soon as the pairs that still lie across components are
-    few, they are tested one by one; else further stars follow.
-    """
-    size = members.groupBy("band").agg(F.count("*").alias("n"))
-    central = members.join(size, "band").groupBy("node").agg(F.sum("n").alias("degree"))
-    open_members = write_once(members.join(central, "node"), "members")
-    links = tested = components = None
-    while True:
-        if components is None:
-            labelled = open_members.data.withColumn("component", F.col("node"))
-        else:
-            labelled = open_members.data.join(components.data, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        labelled = write_once(labelled, "labelled")
-        parts = labelled.data.groupBy("band", "component").agg(F.count("*").alias("n"))
-        mixed = parts.groupBy("band").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares")).where("parts > 1")
-        mixed = write_once(mixed, "mixed")
-        if not mixed.rows:
-            break
-        pairs_left = mixed.data.agg(F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)).first()[0]
-        still = labelled.data.join(mixed.data.select("band"), "band")
-        # Before the first stars all documents are components of their own and buckets are whole groups.
-        last = components is not None and pairs_left <= left_over * documents
-        if last:
-            one = still.select("band", F.col("node").alias("a"), F.col("component").alias("ca"))
-            two = still.select("band", F.col("node").alias("b"), F.col("component").alias("cb"))
-            pairs = one.join(two, "band").where("ca <> cb AND a < b")
-        else:
-            rank = F.struct("degree", "node")
-            centre = still.groupBy("band").agg(F.max_by("node", rank).alias("centre"), F.max_by("component", rank).alias("cc"))
-            stars = write_once(still.join(centre, "band"), "stars")
-            open_members = stars
-            pairs = stars.data.where("component <> cc").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-        pairs = pairs.select("a", "b").distinct()
-        pairs = write_once(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, "pairs")
-        found = _verify(pairs.data, texts, percent)
-        links = found.data if links is None else links.union(found.data)
-        tested = pairs.data if tested is None else tested.union(pairs.data)
-        components = connected_components(links)
-        if last:
-            break
-        open_members = write_once(stars.data.where("node <> centre").select("node", "band", "degree"), "members")
-    return components if components is not None else connected_components(members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
-
-
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -214,12 +165,14 @@ def near_duplicates(
     # Copies of one set are one class, named by its smallest id.
     classes = write_once(some.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "classes")
     reps = some.join(classes.data.select(F.col("rep").alias("doc_id"), "set_key"), ["doc_id", "set_key"], "left_semi")
-    keys = reps.select(F.explode("bands").alias("band"), F.col("doc_id").alias("node"))
+    keys = reps.select(F.explode("bands").alias("band"), F.col("doc_id").alias("node"), F.col("n_shingles").alias("mark"))
     shared = keys.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("band")
     members = write_once(keys.join(shared, "band").distinct(), "buckets")
     wanted = members.data.select(F.col("node").alias("doc_id")).distinct()
     texts = write_once(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(wanted, "doc_id", "left_semi"), "texts")
-    groups = _links(members.data, texts.data, sketches.rows, percent, left_over)
+    # Sets whose sizes alone rule out the similarity are not compared.
+    sizes = lambda m, n: 100 * F.least(m, n) >= percent * F.greatest(m, n)
+    groups = linked_groups(members.data, lambda pairs: _verify(pairs, texts.data, percent), sizes, left_over * sketches.rows)
     # Classes of more than one copy and ids of several classes link through their ids.
     rep_of = join_unique(some.select("doc_id", "set_key"), classes.data, "set_key", "copies", sketches.rows).where("doc_id <> rep").select("doc_id", "rep")
     edges = rep_of.union(groups.data.select("node", "component"))
