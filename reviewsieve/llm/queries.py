@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewsieve.llm import decontaminate, fuzzy_lines, license_scan, mixing, quality_mcd, sharding, superminhash, url_aliases, warc_zstd
+from reviewsieve.llm import chaining, decontaminate, fuzzy_lines, license_scan, mixing, quality_mcd, sharding, superminhash, url_aliases, warc_zstd
 from reviewsieve.session import scratch_path
 
 
@@ -31,6 +31,10 @@ def op4_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superminhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.passage_report(_table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.benchmark_overlaps(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     hits = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["first"])
