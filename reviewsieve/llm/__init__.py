@@ -2,3 +2,10 @@
 
 Nothing else in the library imports this subpackage.
 """
+
+import sys
+
+from pyspark.cloudpickle import register_pickle_by_value
+
+# Functions that run in tasks travel with the job, so executors need no copy of the library.
+register_pickle_by_value(sys.modules[__name__])
