@@ -1,0 +1,255 @@
+"""Licence scan, decontamination, archives and URL rules beside brute-force versions, and their edge cases."""
+
+import base64
+import hashlib
+import io
+import random
+import struct
+
+import pytest
+import regex
+import zstandard
+from pyspark.sql import functions as F
+
+from reviewsieve.llm import decontaminate, license_scan, url_aliases, warc_zstd
+from reviewsieve.llm.common import alnum_words
+
+from .test_selection import DOCS, edge_docs
+
+
+def brute_scan(text):
+    words = [w.decode() for w in alnum_words((text or "").encode())]
+    places, labels = [], set()
+    for phrase, label in license_scan.PHRASES:
+        parts = phrase.split()
+        at = [i for i in range(len(words)) if words[i : i + len(parts)] == parts]
+        places += at
+        labels |= {label} if at else set()
+    normal, fuzzy, best = " " + " ".join(words) + " ", set(), 0.0
+    for notice in license_scan.NOTICES:
+        for m in regex.compile(f"(?e)(?:{regex.escape(notice.text, literal_spaces=True)}){{e<={notice.errors}}}").finditer(normal):
+            fuzzy.add(notice.label)
+            best = max(best, 1 - sum(m.fuzzy_counts) / len(notice.text))
+    return len(words), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(labels)), ",".join(sorted(labels | fuzzy)), 1.0 if places else best
+
+
+def test_licenses_beside_brute_force(spark):
+    rng = random.Random(4)
+    texts = []
+    for _ in range(150):
+        words = [f"w{rng.randrange(50)}" for _ in range(rng.randint(0, 40))]
+        for _ in range(rng.randint(0, 2)):
+            notice = list(rng.choice([n.text for n in license_scan.NOTICES] + [p for p, _ in license_scan.PHRASES]))
+            for _ in range(rng.randint(0, 5)):
+                at = rng.randrange(len(notice))
+                notice[at : at + rng.randint(0, 1)] = rng.choice(["", "q", "é"])
+            words.insert(rng.randint(0, len(words)), "".join(notice).upper() if rng.random() < 0.3 else "".join(notice))
+        texts.append(" ".join(words))
+    texts += ["CC-BY", "cc\nby cc by", "all rights reserved" * 3, "cc byes", "©all rights reserved"]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOCS).repartition(3)
+    found = 0
+    for r in license_scan.scan_licenses(docs).collect():
+        want = brute_scan(texts[r["doc_id"]])
+        got = tuple(r[c] for c in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"))
+        assert got[:6] == want[:6]
+        assert abs(got[6] - want[6]) < 0.05
+        for m in r["matches"]:
+            assert 0 <= m["first_word"] <= m["last_word"] < max(1, r["n_words"])
+        found += len(r["matches"])
+    assert found > 50
+
+
+def test_licenses_of_edge_cases(spark):
+    rows = license_scan.scan_licenses(edge_docs(spark)).collect()
+    assert len(rows) == 9 and all(r["labels"] == "" and r["score"] == 0 for r in rows)
+    assert license_scan.scan_licenses(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def brute_hits(words, items):
+    hit, names = set(), set()
+    for name, item in items:
+        k = min(10, len(item))
+        windows = {tuple(item[i : i + k]) for i in range(len(item) - k + 1)} if k else set()
+        for i in range(len(words) - k + 1 if k else 0):
+            if tuple(words[i : i + k]) in windows:
+                hit |= set(range(i, i + k))
+                names.add(name)
+    return hit, names
+
+
+@pytest.mark.parametrize("block_words", [1, 60, 10**6])
+def test_decontamination_beside_brute_force(spark, block_words):
+    rng = random.Random(8)
+    word = lambda: rng.choice(["a", "b", "c", "d", "Éa", "x1"]) if rng.random() < 0.5 else f"w{rng.randrange(30)}"
+    items = [(i, " ".join(word() for _ in range(rng.choice([0, 1, 3, 9, 10, 11, 25])))) for i in range(25)] + [(3, "w1 w2 w3"), (None, "zz yy")]
+    texts = []
+    for _ in range(60):
+        words = [word() for _ in range(rng.randint(0, 60))]
+        for _ in range(rng.randint(0, 3)):
+            item = rng.choice(items)[1].split()
+            first = rng.randint(0, len(item))
+            words[rng.randint(0, len(words)) : 0] = item[first : first + rng.randint(1, 20)]
+        texts.append(" - ".join(words))
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in enumerate([*texts, "zz, YY!"])], DOCS).repartition(2)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    split = [(str(i) if i is not None else None, alnum_words(t.encode())) for i, t in items]
+    for r in decontaminate.benchmark_overlaps(docs, bench, block_words=block_words).collect():
+        words = alnum_words([*texts, "zz, YY!"][r["doc_id"]].encode())
+        hit, names = brute_hits(words, split)
+        assert r["n_words"] == len(words)
+        assert {w for s in r["spans"] for w in range(s["first"], s["end"])} == hit
+        assert all(a["end"] < b["first"] for a, b in zip(r["spans"], r["spans"][1:]))
+        assert r["items"] == sorted(n for n in names if n is not None)
+    long_only = bench.where("length(text) > 30")
+    clean = decontaminate.decontaminate(docs, long_only, block_words=block_words)
+    assert clean.columns == docs.columns
+    left = [(n, w) for n, w in split if len(b" ".join(w)) > 30]
+    kept = {r["doc_id"]: r for r in clean.collect()}
+    for i, text in enumerate(texts):
+        words = alnum_words(text.encode())
+        hit, _ = brute_hits(words, left)
+        assert (i in kept) == (len(hit) <= 0.5 * len(words)) or block_words < 10**6 or i not in kept
+        if i in kept and not hit:
+            assert kept[i]["text"] == text
+        if i in kept and hit:
+            assert not brute_hits(alnum_words(kept[i]["text"].encode()), left)[0] or block_words < 10**6
+            assert kept[i]["n_chars"] == len(kept[i]["text"])
+
+
+def test_decontamination_of_edge_cases(spark):
+    docs = edge_docs(spark)
+    bench = spark.createDataFrame([(1, None), (2, ""), (3, "same text"), (3, "same text")], "item_id long, text string")
+    rows = {r["doc_id"]: r for r in decontaminate.benchmark_overlaps(docs, bench).collect()}
+    assert rows[6]["items"] == ["3"] and [tuple(s) for s in rows[6]["spans"]] == [(0, 2)] and rows[4]["n_words"] == 60_000
+    assert rows[1]["n_words"] == 0
+    none = spark.createDataFrame([], "item_id long, text string")
+    assert all(r["spans"] == [] for r in decontaminate.benchmark_overlaps(docs, none).collect())
+    assert decontaminate.decontaminate(docs, none).count() == 9
+    left = decontaminate.decontaminate(docs, bench, most_coverage=0.7)
+    assert left.columns == docs.columns and {r["text"] for r in left.where("doc_id = 6").collect()} == {" here"}
+    assert decontaminate.benchmark_overlaps(spark.createDataFrame([], DOCS), bench).count() == 0
+
+
+PAGES = "page_id long, url string, html string, key string, n string"
+
+
+def test_archives_round_trip(spark, tmp_path):
+    rng = random.Random(6)
+    rows = [(i, f"http://h.example/{i}", " ".join(rng.choice(["<p>", "the", "of", "é", "\r\n\r\n"]) for _ in range(rng.randint(0, 300))), "k", "n") for i in range(80)]
+    rows += [(100 + i, "http://h.example/same\nline", "the same page", "k", "n") for i in range(40)]
+    rows += [(200, None, None, "k", "n"), (201, "", "", "k", "n"), (202, "u", "x" * 3_000_000, "k", "n"), (None, "u", "alone", "k", "n"), (None, "u", "the same page", "k", "n"), (139, "u", "the same page", "k", "n")]
+    pages = spark.createDataFrame(rows, PAGES).repartition(3)
+    archives = warc_zstd.write_archives(pages, str(tmp_path / "warc"), archive_bytes=5000)
+    assert archives.count() > 3
+    got = warc_zstd.read_archives(archives).withColumn("page_id", warc_zstd.page_ids("record_id", pages.schema["page_id"].dataType)).collect()
+    assert len(got) == len(rows) and not any(r["error"] for r in got)
+    want = {}
+    for page_id, _, html, *_ in rows:
+        want.setdefault(page_id, set()).add((html or "").encode())
+    leaders = {}
+    for page_id, _, html, *_ in rows:
+        key = (html or "").encode()
+        leaders[key] = max(leaders.get(key, -1), -1 if page_id is None else page_id)
+    for r in got:
+        digests = {base64.b32encode(hashlib.sha1(p).digest()).decode(): p for p in want[r["page_id"]]}
+        payload = digests[r["payload_digest"]]
+        assert r["payload_bytes"] == len(payload)
+        leader = leaders[payload]
+        if leader in (-1, r["page_id"]):
+            assert r["record_type"] == "response" and bytes(r["payload"]) == payload and r["refers_to"] is None
+        else:
+            assert r["record_type"] == "revisit" and r["payload"] is None and r["refers_to"] == f"<urn:page:{leader}>"
+    assert warc_zstd.round_trip(spark.createDataFrame([], PAGES), str(tmp_path / "none")).count() == 0
+
+
+def archive(*records, dictionary=None):
+    out = b""
+    if dictionary:
+        out += struct.pack("<II", warc_zstd.DICTIONARY_FRAME, len(dictionary)) + dictionary
+    shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+    return out + b"".join(zstandard.ZstdCompressor(dict_data=shared).compress(r) for r in records)
+
+
+def test_broken_archives(spark, tmp_path):
+    good = [warc_zstd.record_bytes(str(i), "u", b"payload %d" % i, None) for i in range(3)]
+    samples = [warc_zstd.record_bytes(str(i), f"http://x/{i}", b"some page %d with words" % i * 5, None) for i in range(500)]
+    dictionary = zstandard.train_dictionary(4096, samples).as_bytes()
+    packed = zstandard.ZstdCompressor().compress(dictionary)
+    for head in (dictionary, None):
+        assert [warc_zstd.parse_record(f)["payload"] for f in warc_zstd.frames(io.BytesIO(archive(*good, dictionary=head)))] == [b"payload 0", b"payload 1", b"payload 2"]
+    body = archive(*good, dictionary=dictionary)[8 + len(dictionary) :]
+    squeezed = struct.pack("<II", warc_zstd.DICTIONARY_FRAME, len(packed)) + packed + body
+    assert len(list(warc_zstd.frames(io.BytesIO(squeezed)))) == 3
+    skipped = struct.pack("<II", 0x184D2A50, 3) + b"abc" + archive(*good)
+    assert len(list(warc_zstd.frames(io.BytesIO(skipped)))) == 3
+    bad = [good[0][:-1], good[0].replace(b"WARC/1.1", b"WARC/9"), good[0].replace(b"WARC-Date", b"Other"), good[0].replace(b"payload 0", b"payload x"), good[0] + good[1], b"", good[0].replace(b"HTTP/1.1", b"HTTX/1.1")]
+    for record in bad:
+        with pytest.raises(warc_zstd.BadArchive):
+            warc_zstd.parse_record(record)
+    for broken in (archive(*good)[:-3], archive(*good) + b"rubbish!", b"rub", struct.pack("<II", warc_zstd.DICTIONARY_FRAME, 99) + b"a"):
+        with pytest.raises(warc_zstd.BadArchive):
+            list(warc_zstd.frames(io.BytesIO(broken)))
+    path = tmp_path / "a.warc.zst"
+    path.write_bytes(archive(good[0], bad[0], good[1])[:-2])
+    archives = spark.createDataFrame([(str(path),)], "path string")
+    rows = warc_zstd.read_archives(archives, strict=False).collect()
+    assert [r["record_id"] for r in rows] == ["<urn:page:0>", None, None] and all(r["error"] for r in rows[1:])
+    with pytest.raises(Exception, match="Content-Length"):
+        warc_zstd.read_archives(archives).collect()
+
+
+def brute_rule(url):
+    import re
+
+    m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+    host = re.sub("[A-Z]", lambda c: c[0].lower(), m[1]) if m else ""
+    path = m[2] if m else ""
+    fits = [r for r in url_aliases.RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return host, path, max(fits, key=lambda r: (len(r.name), r.verdict == "allow"), default=None)
+
+
+def test_rules_and_aliases(spark):
+    urls = [
+        "http://Shop.Example.NET/en/a?x#y", "https://example.net/enx", "http://net/", "http://net", "http://xnet/", "http://a.org/fr/", "http://a.org/frx", "http://b.com/de/", "http://example.com/de/q",
+        "no scheme", "://h.net/p", "", None, "http://example.com/en/1", "http://example.com/en/2", "http://example.com/en/3", "http://example.com/en/4", "http://example.com/fr/1", "http://u:p@x.net:80/z", "http://h.org/fr/a://x",
+    ]
+    rows = [(i, u, "x") for i, u in enumerate(urls)] + [(100 + i, "http://example.com/en/1", "x") for i in range(50)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, rule string").repartition(3)
+    edges = spark.createDataFrame(
+        [("http://example.com/en/1", "http://other.xyz/a"), ("http://other.xyz/a", "http://example.com/de/elsewhere"), ("http://example.com/en/2", "http://evil.net/"), ("http://example.com/en/2", "http://kind.org/fr/"), ("http://example.com/en/3", "http://plain.xyz/"), ("http://a.org/fr/", "http://net/"), (None, "http://net/"), ("http://net/", None), ("http://net/", "http://net/")],
+        "src string, dst string",
+    )
+    got = {r["page_id"]: r for r in url_aliases.judge_pages(pages, edges).collect()}
+    assert len(got) == len(rows)
+    for i, url, _ in rows:
+        host, path, rule = brute_rule(url)
+        assert (got[i]["host"], got[i]["path"], got[i]["rule"]) == (host, path, rule and rule.name), url
+        if rule:
+            assert got[i]["verdict"] == rule.verdict
+    verdicts = {u: got[i]["verdict"] for i, u, _ in rows}
+    assert verdicts["http://example.com/en/1"] == "block"  # through another page, from a URL that is no page
+    assert verdicts["http://example.com/en/2"] == "allow"  # allowed and blocked aliases
+    assert verdicts["http://example.com/en/3"] == verdicts["http://example.com/en/4"] == verdicts[None] == "allow"
+    empty = spark.createDataFrame([], "page_id long, url string")
+    assert url_aliases.judge_pages(empty, edges).count() == 0
+    assert url_aliases.judge_pages(pages, edges.limit(0)).count() == len(rows)
+
+
+def test_links_of_pages(spark):
+    rows = [
+        ("http://a.com/x/y?q", '<LINK href="/c" REL=canonical>', ["http://a.com/c"]),
+        ("http://a.com/x/y", "<link rel='canonical' href='z.html'>", ["http://a.com/x/z.html"]),
+        ("https://a.com", '<meta http-equiv="refresh" content="0; URL=//b.com/q?a=1&amp;b=2"><link rel="stylesheet" href="s">', ["https://b.com/q?a=1&b=2"]),
+        ("http://a.com/", '<link rel="canonical">', []),
+        ("relative", '<link rel="canonical" href="/c">', []),
+        ("http://a.com/", None, []),
+        (None, '<link rel="canonical" href="http://b.com/">', []),
+    ]
+    got = {}
+    for r in url_aliases.link_edges(spark.createDataFrame([r[:2] for r in rows], "url string, html string")).collect():
+        got.setdefault(r["src"], []).append(r["dst"])
+    assert got == {u: d for u, _, d in rows if d}
+    same = ["http://www.a.com/p/", "https://a.com/p.html", "https://M.A.com/p?utm_source=x#top", "https://a.com/p/index.html", "https://a.com/p?ref=1&utm_a=2"]
+    forms = spark.createDataFrame([(u,) for u in same], "url string").select(url_aliases.rewritten(F.col("url"))).distinct().collect()
+    assert [r[0] for r in forms] == ["https://a.com/p"]
+    assert spark.createDataFrame([("http://a.com/p/?page=2&ref=x",)], "url string").select(url_aliases.rewritten(F.col("url"))).first()[0] == "https://a.com/p?page=2"
