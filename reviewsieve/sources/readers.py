@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from pathlib import PurePosixPath
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,175 +29,248 @@ RAW_REVIEW_SCHEMA = T.StructType(
     ]
 )
 
-READABLE = (".csv", ".json", ".jsonl", ".parquet")
-
 _CORRUPT = "_corrupt_record"
+LAYOUTS = ("auto", "document", "lines")
 
 
-def detect_file_format(path: str) -> str:
-    """The format by file extension, without the dot."""
-    extension = PurePosixPath(str(path)).suffix.lower()
-    if extension not in READABLE:
-        raise ValueError(f"Cannot read '{extension}' files; readable are {list(READABLE)}.")
-    return extension[1:]
+# --- JSON lines ------------------------------------------------------------------------
 
 
-def _fail_on_bad_records(df: DataFrame) -> DataFrame:
-    """Stop with the file and the text of a record that is not a JSON object.
+def _bad_line(line: Column, record: Column) -> Column:
+    """Whether a line is anything but one object that fits the schema.
 
-    The check is a filter on the rows as they are read, not a pass of its own.
-    It names a data column because Spark does not read the corrupt text alone.
+    Parsing ends with the first value; where another may follow, the line is counted as an array.
     """
-    data = [c for c in df.columns if c != _CORRUPT]
-    bad = F.col(_CORRUPT)
-    message = F.concat(
-        F.lit("Bad JSON record in "),
-        F.col("_metadata.file_path"),
-        F.lit(": "),
-        bad,
-        *[F.when(F.col(f"`{c}`").isNotNull(), F.lit(" (read in part)")).otherwise("") for c in data[:1]],
-    )
-    checked = df.where(F.when(bad.isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True))
-    return checked.drop(_CORRUPT)
+    several = line.rlike(r"\}\s*,?\s*\{") & ~F.coalesce(F.json_array_length(F.concat(F.lit("["), line, F.lit("]"))) == 1, F.lit(False))
+    return ~line.rlike(r"(?s)^\s*\{.*\}\s*$") | record[_CORRUPT].isNotNull() | several
+
+
+def _stop_on(bad: Column, line: Column, file: Column) -> Column:
+    """True, unless the line is bad: then the job ends and names it."""
+    message = F.concat(F.lit("Bad JSON record in "), file, F.lit(": "), line)
+    return F.when(bad, F.raise_error(message).cast("boolean")).otherwise(True)
+
+
+def _parsed_lines(
+    lines: DataFrame, schema: T.StructType, strict: bool, dropped: Observation | None = None
+) -> DataFrame:
+    """Records from lines (value, and the file's metadata); each line is parsed once."""
+    fields = [f for f in schema.fields if f.name != _CORRUPT]
+    wanted = T.StructType([*fields, T.StructField(_CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    record = F.from_json("value", wanted, options)
+    file, block = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    some = lines.where(~F.col("value").rlike(r"^[\s﻿]*$"))
+    # The array keeps the parse from being repeated for every field.
+    read = some.select("value", file.alias("_file"), block.alias("_block"), F.explode(F.array(record)).alias("_record"))
+    bad = _bad_line(F.col("value"), F.col("_record"))
+    if strict:
+        read = read.where(_stop_on(bad, F.col("value"), F.col("_file")))
+    else:
+        if dropped is not None:
+            read = read.observe(dropped, F.count_if(bad).alias("dropped"))
+        read = read.where(~bad)
+    place = F.struct(F.col("_file").alias("file"), F.col("_block").alias("block"))
+    return read.select(*[F.col("_record")[f.name].alias(f.name) for f in fields], place.alias(FILE_PLACE))
+
+
+def _inferred_lines(spark: SparkSession, paths: str | list[str]) -> T.StructType:
+    schema = spark.read.json(paths).schema
+    fields = [f for f in schema.fields if f.name != _CORRUPT]
+    if not fields:
+        raise ValueError(f"No JSON object in {paths}.")
+    return T.StructType(fields)
 
 
 def read_jsonl(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, strict: bool = True
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | None = None,
+    strict: bool = True,
+    dropped: Observation | None = None,
 ) -> DataFrame:
     """One JSON object per line; blank lines are skipped.
 
-    Strict reading fails on a line that is not an object, when the line is
-    reached. Otherwise such lines are dropped.
+    Strict reading fails on a line that is not one object of the schema's types,
+    when the line is reached. Otherwise such lines are dropped, and their number
+    is observed as `dropped`.
     """
-    if schema is None:
-        schema = spark.read.json(path).schema
-        if schema.fieldNames() == [_CORRUPT]:
-            raise ValueError(f"No JSON object in {path}.")
-    fields = [f for f in schema.fields if f.name != _CORRUPT]
-    wanted = T.StructType([*fields, T.StructField(_CORRUPT, T.StringType())])
-    reader = spark.read.schema(wanted).option("columnNameOfCorruptRecord", _CORRUPT)
-    if strict:
-        return _fail_on_bad_records(reader.json(path))
-    return reader.option("mode", "DROPMALFORMED").json(path).drop(_CORRUPT)
-
-
-def _roots(spark: SparkSession, path: str) -> DataFrame:
-    """About each file: its first character, whether its first line is a whole
-    object, and its number of lines. Blank lines do not count."""
-    line = F.regexp_replace("value", r"^[\s\uFEFF]+", "")
-    lines = (
-        spark.read.text(path)
-        .select(
-            F.col("_metadata.file_path").alias("file"),
-            F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
-            line.alias("line"),
-        )
-        .where("line <> ''")
+    schema = schema or _inferred_lines(spark, path)
+    return _parsed_lines(spark.read.text(path), schema, strict, dropped).drop(FILE_PLACE)
+
+
+# --- JSON documents --------------------------------------------------------------------
+
+
+def _is_object(value: Column) -> Column:
+    return F.schema_of_variant(value).startswith("OBJECT")
+
+
+def _items(root: Column) -> Column:
+    """The records of one document: items of an array, those of an object's only list if all are
+    objects, else the object itself. Anything else stops the job."""
+    variants = "array<variant>"
+    entries = F.map_values(root.cast("map<string,variant>"))
+    lists = F.filter(entries, lambda v: F.schema_of_variant(v).startswith("ARRAY"))
+    only = F.element_at(lists, 1).cast(variants)
+    wrapped = F.when(F.size(lists) == 1, F.when(F.forall(only, _is_object), only))
+    kind = F.schema_of_variant(root)
+    items = (
+        F.when(kind.startswith("ARRAY"), root.cast(variants))
+        .when(kind.startswith("OBJECT"), F.coalesce(wrapped, F.array(root)))
+        .otherwise(F.raise_error(F.lit("A JSON root is neither an object nor an array.")).cast(variants))
     )
-    # Only these small values are aggregated: a line may be a whole document.
-    return (
-        lines.select(
-            "file",
-            "place",
-            F.substring("line", 1, 1).alias("start"),
-            F.json_object_keys("line").isNotNull().alias("whole"),
-        )
-        .groupBy("file")
-        .agg(
-            F.min_by("start", "place").alias("kind"),
-            F.min_by("whole", "place").alias("starts_with_object"),
-            F.count(F.lit(1)).alias("lines"),
-        )
+    good = F.forall(items, _is_object)
+    message = F.lit("A JSON array holds items that are not objects.")
+    return F.when(good, items).otherwise(F.raise_error(message).cast(variants))
+
+
+def _documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(_record) of every record. A file is one value: it is parsed as the only item of an array, so
+    that anything behind the root is an error."""
+    whole = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", "^﻿", "").alias("value"))
+    boxed = F.parse_json(F.concat(F.lit("["), F.col("value"), F.lit("]"))).cast("array<variant>")
+    roots = whole.select(F.explode(F.array(boxed)).alias("roots"))
+    single = F.when(F.size("roots") == 1, F.col("roots")[0]).otherwise(
+        F.raise_error(F.lit("A JSON file holds no value, or several.")).cast("variant")
     )
+    return roots.select(single.alias("root")).select(F.explode(_items(F.col("root"))).alias("_record"))
 
 
-def _document(spark: SparkSession, files: list[str], schema: T.StructType | None) -> DataFrame:
-    reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
-    return (reader.schema(schema) if schema else reader).json(files)
+def _inferred_records(records: DataFrame) -> T.StructType:
+    """Schema of all records together; what has no type or several is text."""
+    found = records.agg(F.schema_of_variant_agg("_record")).first()[0] or ""
+    if not found.startswith("OBJECT<"):
+        raise ValueError("No JSON record to take a schema from.")
+    ddl = found.replace("OBJECT<", "STRUCT<")
+    ddl = re.sub(r"\b(VOID|VARIANT)\b(?=[,>])", "STRING", ddl)
+    ddl = re.sub(r"DECIMAL\(\d+, ?0\)", "BIGINT", ddl)
+    ddl = re.sub(r"DECIMAL\(\d+, ?\d+\)", "DOUBLE", ddl)
+    return T._parse_datatype_string(ddl)
 
 
 def read_json_document(
-    spark: SparkSession, path: str, schema: T.StructType | None = None
+    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None
 ) -> DataFrame:
-    """Whole-document JSON.
+    """Whole-document JSON, each file by itself.
 
-    An array gives its items. An object whose only list holds objects gives the
+    An array gives its items. An object whose only list holds nothing but objects gives the
     items of that list, any other object is one row. Files are read in
-    parallel, each by one task. `schema` describes the rows.
+    parallel, each as one value. `schema` describes the rows; without one it
+    is taken from all records. Files without a byte are passed over.
     """
-    roots = {
-        row.kind: row.files
-        for row in _roots(spark, path)
-        .groupBy("kind")
-        .agg(F.collect_list("file").alias("files"))
-        .collect()
-    }
-    if not set(roots) <= {"[", "{"}:
-        raise ValueError(f"A JSON root in {path} is neither an object nor an array.")
-    parts = []
-    if "[" in roots:
-        parts.append(_document(spark, roots["["], schema))
-    if "{" in roots:
-        parts.append(_object_rows(spark, roots["{"], schema))
-    if not parts:
-        raise ValueError(f"No JSON in {path}.")
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part, allowMissingColumns=True)
-    if rows.columns == [_CORRUPT]:
-        raise ValueError(f"A JSON array in {path} holds items that are not objects.")
-    return rows
-
-
-def _object_rows(
-    spark: SparkSession, files: list[str], schema: T.StructType | None
-) -> DataFrame:
-    whole = _document(spark, files, None)
-    lists = [f for f in whole.schema.fields if isinstance(f.dataType, T.ArrayType)]
-    if len(lists) == 1 and isinstance(lists[0].dataType.elementType, T.StructType):
-        wrapper = lists[0].name
-        if schema:
-            wrapped = T.StructType([T.StructField(wrapper, T.ArrayType(schema))])
-            whole = _document(spark, files, wrapped)
-        return whole.select(F.inline(F.col(f"`{wrapper}`")))
-    return _document(spark, files, schema) if schema else whole
+    records = _documents(spark, path)
+    schema = schema or _inferred_records(records)
+    parsed = F.from_json(F.to_json("_record"), schema, {"mode": "FAILFAST"})
+    return records.select(F.explode(F.array(parsed)).alias("_r")).select("_r.*")
+
+
+# --- Other formats ---------------------------------------------------------------------
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    multi_line: bool = True,
+    strict: bool = True,
 ) -> DataFrame:
     """CSV with a header; all columns are text unless a schema is given.
 
     Quoted fields may hold line breaks. Where none do, `multi_line=False` lets
-    Spark split large files.
+    Spark split large files. Strict reading fails on a row with too many or too few
+    fields or with a value that does not fit the schema; otherwise such rows are dropped.
     """
     reader = (
         spark.read.option("header", True)
         .option("multiLine", multi_line)
         .option("escape", '"')
         .option("enforceSchema", False)
+        .option("mode", "FAILFAST" if strict else "DROPMALFORMED")
     )
-    return (reader.schema(schema) if schema else reader).csv(path)
+    df = (reader.schema(schema) if schema else reader).csv(path)
+    if schema is None:
+        # Rows are only checked against a schema that is given.
+        df = reader.schema(df.schema).csv(path)
+    return df
 
 
-def read_reviews(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, strict: bool = True
+def _line_files(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+    """Files of JSON lines, and files that are documents.
+
+    A file whose first line is a whole object holds lines if more lines follow. With no more than
+    that line it may be either, and is taken as lines if any other file holds lines.
+    """
+    text = F.regexp_replace("value", r"^[\s﻿]+", "")
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
+        text.alias("line"),
+    )
+    # Only these small values are aggregated: a line may be a whole document.
+    whole = F.json_object_keys("line").isNotNull()
+    found = (
+        lines.where("line <> ''")
+        .select("file", "place", whole.alias("whole"))
+        .groupBy("file")
+        .agg(F.min_by("whole", "place").alias("whole"), F.count(F.lit(1)).alias("lines"))
+        .collect()
+    )
+    some = any(r.whole and r.lines > 1 for r in found)
+    as_lines = {r.file: bool(r.whole and (r.lines > 1 or some)) for r in found}
+    return [f for f, is_lines in as_lines.items() if is_lines], [f for f, is_lines in as_lines.items() if not is_lines]
+
+
+def _read_json(
+    spark: SparkSession, path: str, schema: T.StructType | None, strict: bool, layout: str
 ) -> DataFrame:
-    """Read by file extension."""
-    kind = detect_file_format(path)
-    if kind == "jsonl":
+    """A `.json` path by its layout; "auto" takes each file for itself."""
+    if layout == "lines":
         return read_jsonl(spark, path, schema, strict)
-    if kind == "json":
+    if layout == "document":
         return read_json_document(spark, path, schema)
-    if kind == "csv":
-        return read_csv(spark, path, schema)
-    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
+    lines, documents = _line_files(spark, path)
+    if not documents:
+        # All files, so that their names need not travel with the plan.
+        return read_jsonl(spark, path, schema, strict) if lines else read_json_document(spark, path, schema)
+    if not lines:
+        return read_json_document(spark, documents, schema)
+    parts = read_jsonl(spark, lines, schema, strict), read_json_document(spark, documents, schema)
+    return parts[0].unionByName(parts[1], allowMissingColumns=True)
+
+
+_Reader = Callable[[SparkSession, str, T.StructType | None, bool, str, bool], DataFrame]
+
+# What reads a file, by its extension.
+READERS: dict[str, _Reader] = {
+    "csv": lambda spark, path, schema, strict, layout, multi_line: read_csv(spark, path, schema, multi_line, strict),
+    "json": lambda spark, path, schema, strict, layout, multi_line: _read_json(spark, path, schema, strict, layout),
+    "jsonl": lambda spark, path, schema, strict, layout, multi_line: read_jsonl(spark, path, schema, strict),
+    "parquet": lambda spark, path, schema, strict, layout, multi_line: (spark.read.schema(schema) if schema else spark.read).parquet(path),
+}
 
 
-def _is_lines_layout(spark: SparkSession, path: str) -> bool:
-    """True when every file has several lines and starts with a complete object."""
-    as_lines = F.col("starts_with_object") & (F.col("lines") > 1)
-    return bool(_roots(spark, path).agg(F.bool_and(as_lines)).first()[0])
+def detect_file_format(path: str) -> str:
+    """The entry of `READERS` that a path's extension names."""
+    name = re.sub(r"^.*\.", "", PurePosixPath(str(path)).name).lower()
+    if name in READERS:
+        return name
+    raise ValueError(f"No reader for {path}; there is one for each of {', '.join(READERS)}.")
+
+
+def read_reviews(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    strict: bool = True,
+    layout: str = "auto",
+    multi_line: bool = True,
+) -> DataFrame:
+    """Read by file extension. `layout` says whether `.json` files are documents or hold lines,
+    `multi_line` whether quoted CSV fields may hold line breaks."""
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}")
+    return READERS[detect_file_format(path)](spark, path, schema, strict, layout, multi_line)
 
 
 def read_uploaded_data(
@@ -203,19 +278,17 @@ def read_uploaded_data(
     path: str,
     schema: T.StructType | None = None,
     layout: str = "auto",
+    multi_line: bool = True,
 ) -> DataFrame:
-    """Read an upload; a `.json` file may be a document or hold JSON lines."""
-    if layout not in ("auto", "document", "lines"):
-        raise ValueError("layout must be 'auto', 'document' or 'lines'")
-    as_lines = layout == "lines"
-    if detect_file_format(path) == "json" and layout == "auto":
-        as_lines = _is_lines_layout(spark, path)
-    df = read_jsonl(spark, path, schema) if as_lines else read_reviews(spark, path, schema)
+    """`read_reviews` for an upload, which must hold a row."""
+    df = read_reviews(spark, path, schema, True, layout, multi_line)
     if df.isEmpty():
         raise ValueError(f"'{PurePosixPath(str(path)).name}' holds no rows.")
     return df
 
 
+# --- Streams and order -----------------------------------------------------------------
+
 FILE_PLACE = "_file_place"
 
 
@@ -224,17 +297,19 @@ def read_reviews_stream(
     directory: str,
     schema: T.StructType = RAW_REVIEW_SCHEMA,
     files_per_trigger: int = 1000,
+    file_format: str = "jsonl",
 ) -> DataFrame:
-    """New JSON-lines files of a folder, a bounded number at a time.
+    """New files of a folder, a bounded number at a time: JSON lines, or CSV with a header.
 
-    Each row carries the place of its block, for `numbered` to build on.
+    A bad line or row stops the stream. Each row carries the place of its block, for `numbered` to build on.
     """
-    rows = (
-        spark.readStream.schema(schema)
-        .option("maxFilesPerTrigger", files_per_trigger)
-        .json(directory)
-    )
-    return _with_place(rows)
+    stream = spark.readStream.option("maxFilesPerTrigger", files_per_trigger)
+    if file_format == "jsonl":
+        return _parsed_lines(stream.text(directory), schema, strict=True)
+    if file_format != "csv":
+        raise ValueError("a stream reads jsonl or csv")
+    options = {"header": True, "multiLine": True, "escape": '"', "enforceSchema": False, "mode": "FAILFAST"}
+    return _with_place(stream.options(**options).schema(schema).csv(directory))
 
 
 def _with_place(df: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ import json
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Observation
 from pyspark.sql import types as T
 
 from reviewsieve.sources import (
@@ -13,6 +14,7 @@ from reviewsieve.sources import (
     read_json_document,
     read_jsonl,
     read_reviews,
+    read_reviews_stream,
     read_uploaded_data,
     save_dataframe,
     with_ingest_seq,
@@ -44,16 +46,19 @@ def test_jsonl_skips_blank_lines(spark, tmp_path):
     assert {r.a for r in read_reviews(spark, path).collect()} == {1, 2}
 
 
-@pytest.mark.parametrize("bad", ["{bad", "[1]", '"x"'])
+@pytest.mark.parametrize("bad", ["{bad", "[1]", '"x"', '[{"a": 2}, {"a": 3}]', '{"a": 1} {"a": 2}', '{"a": "no number"}', '{"a": 1} rubbish'])
 def test_strict_jsonl_fails_on_bad_lines(spark, tmp_path, bad):
     path = put(tmp_path, "bad.jsonl", '{"a": 1, "t": "x"}\n' + bad + "\n")
     with pytest.raises(PySparkException, match="Bad JSON record in .*bad.jsonl"):
         read_jsonl(spark, path, SCHEMA).collect()
     with pytest.raises(PySparkException, match="Bad JSON record"):
         read_jsonl(spark, path, SCHEMA).count()
-    with pytest.raises(PySparkException, match="Bad JSON record"):
-        read_jsonl(spark, path).collect()
-    assert rows(read_jsonl(spark, path, SCHEMA, strict=False)) == [(1, "x")]
+    if "no number" not in bad:
+        with pytest.raises(PySparkException, match="Bad JSON record"):
+            read_jsonl(spark, path).collect()
+    dropped = Observation()
+    assert rows(read_jsonl(spark, path, SCHEMA, strict=False, dropped=dropped)) == [(1, "x")]
+    assert dropped.get == {"dropped": 1}
 
 
 def test_jsonl_without_any_object(spark, tmp_path):
@@ -164,3 +169,64 @@ def test_raw_schema_keeps_bad_ratings_and_images(spark, tmp_path):
     got = read_jsonl(spark, path, RAW_REVIEW_SCHEMA).collect()
     assert sorted(r.rating for r in got) == ["5.0", "true", "x"]
     assert [r.images for r in got if r.rating == "5.0"] == [[{"large": "u"}]]
+
+
+def test_layout_is_taken_file_by_file(spark, tmp_path):
+    """Lines, one-line parts, arrays and different wrappers side by side; nothing is lost."""
+    folder = tmp_path / "mixed.json"
+    folder.mkdir()
+    put(folder, "lines.json", '{"a": 1}\n{"a": 2}\n\n{"a": 3}\n')
+    put(folder, "one.json", '{"a": 4}\n')
+    put(folder, "array.json", '[{"a": 5},\n {"a": 6}]')
+    put(folder, "wrapped.json", '{\n"items": [{"a": 7}, {"a": 8}], "n": 1}')
+    put(folder, "other.json", '{\n"reviews": [{"a": 9}]}')
+    put(folder, "none.json", '{\n"reviews": []}')
+    for df in (read_reviews(spark, str(folder), SCHEMA), read_uploaded_data(spark, str(folder))):
+        assert sorted(r.a for r in df.collect()) == list(range(1, 10))
+
+
+def test_document_wrappers_are_judged_file_by_file(spark, tmp_path):
+    put(tmp_path, "a.json", '{"reviews": [{"a": 1}, {"a": 2}]}')
+    put(tmp_path, "b.json", '{"a": 3}')
+    put(tmp_path, "c.json", '{"items": [{"a": 4}]}')
+    put(tmp_path, "d.json", '{"tags": ["x"], "a": 5}')
+    assert sorted(r.a for r in read_json_document(spark, str(tmp_path), SCHEMA).collect()) == [1, 2, 3, 4, 5]
+    assert sorted(r.a for r in read_json_document(spark, str(tmp_path)).collect()) == [1, 2, 3, 4, 5]
+
+
+@pytest.mark.parametrize("content", ['{"a": 1}\n{"a": 2}', '[{"a": 1}] x', '{"a": 1}, {"a": 2}', '[{"a": "x"}]'])
+def test_document_with_more_or_less_than_a_value_fails(spark, tmp_path, content):
+    with pytest.raises(Exception, match="JSON|parse|cast|MALFORMED|Malformed"):
+        read_json_document(spark, put(tmp_path, "d.json", content), SCHEMA).collect()
+
+
+@pytest.mark.parametrize("row", ["2,y,extra", "bad,y", "3"])
+def test_csv_rows_that_do_not_fit_fail(spark, tmp_path, row):
+    path = put(tmp_path, "r.csv", f"a,t\n1,x\n{row}\n")
+    with pytest.raises(Exception, match="FAILFAST|Malformed|FAILED_READ_FILE"):
+        read_csv(spark, path, SCHEMA).collect()
+    assert rows(read_csv(spark, path, SCHEMA, strict=False)) == [(1, "x")]
+    if row != "bad,y":
+        with pytest.raises(Exception, match="FAILFAST|Malformed|FAILED_READ_FILE"):
+            read_csv(spark, path).collect()
+
+
+@pytest.mark.parametrize("bad", ["{bad", '[{"a": 1}]'])
+def test_bad_streamed_lines_stop_the_stream(spark, tmp_path, bad):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    put(folder, "r.jsonl", '{"a": 1, "t": "x"}\n' + bad + "\n")
+    stream = read_reviews_stream(spark, str(folder), SCHEMA)
+    query = stream.writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
+    with pytest.raises(Exception, match="Bad JSON record"):
+        query.awaitTermination()
+
+
+def test_streamed_csv(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    put(folder, "r.csv", 'a,t\n1,"x\ny"\n2,z\n')
+    stream = read_reviews_stream(spark, str(folder), SCHEMA, file_format="csv")
+    query = stream.drop("_file_place").writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert rows(spark.read.parquet(f"{tmp_path}/out")) == [(1, "x\ny"), (2, "z")]
