@@ -97,60 +97,31 @@ def linked_groups(
     members: DataFrame,
     verify: Callable[[DataFrame], WrittenTable],
     possible: Callable[[Column, Column], Column],
-    few_pairs: int,
+    rest: Callable[[DataFrame], DataFrame],
 ) -> WrittenTable:
-    """Components (node, component) of the nodes that share buckets, over the pairs that `verify` confirms.
-
-    `members` has a bucket `band`, a `node` and a `mark` of the node; only pairs whose marks are `possible` are
-    verified. `verify` gets pairs (a, b) and returns the true ones.
-
-    No pair of a bucket that could join two components is left untested. Each bucket is tested as a
-    star around its most central node, which then leaves it: all its pairs are known. So a group of n
-    near copies costs about n comparisons. As soon as no more than `few_pairs` pairs still lie across
-    components, they are tested one by one; else further stars follow.
+    """Components (node, component) of the nodes that share buckets, over the pairs that are found to be linked.
+
+    `members` has a bucket `band`, a `node` and a `mark` of the node. Each bucket is first tested as a star around its
+    most central node, so that a group of n near copies is joined by about n comparisons: of the pairs (a, b) whose
+    marks are `possible`, `verify` returns those that are linked. The centre then leaves the bucket, as all its pairs are
+    known. Buckets whose other nodes are still in several components go, with `component`, to
+    `rest`, which returns the links between those components. So no pair of a bucket that could join two components
+    is left untested.
     """
     size = members.groupBy("band").agg(F.count("*").alias("n"))
     central = members.join(size, "band").groupBy("node").agg(F.sum("n").alias("degree"))
-    open_members = write_once(members.join(central, "node"), "members")
-    links = tested = components = None
-    while True:
-        if components is None:
-            labelled = open_members.data.withColumn("component", F.col("node"))
-        else:
-            labelled = open_members.data.join(components.data, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        labelled = write_once(labelled, "labelled")
-        open_members.remove()
-        parts = labelled.data.groupBy("band", "component").agg(F.count("*").alias("n"))
-        mixed = parts.groupBy("band").agg(F.count("*").alias("parts"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("squares")).where("parts > 1")
-        mixed = write_once(mixed, "mixed")
-        if not mixed.rows:
-            break
-        pairs_left = mixed.data.agg(F.sum((F.col("n") * F.col("n") - F.col("squares")) / 2)).first()[0]
-        still = labelled.data.join(mixed.data.select("band"), "band")
-        # Before the first stars all nodes are components of their own and buckets are whole groups.
-        last = components is not None and pairs_left <= few_pairs
-        if last:
-            one = still.select("band", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("mark").alias("ma"))
-            two = still.select("band", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("mark").alias("mb"))
-            pairs = one.join(two, (one["band"] == two["band"]) & (F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b")) & possible(F.col("ma"), F.col("mb")))
-        else:
-            rank = F.struct("degree", "node")
-            centre = still.groupBy("band").agg(F.max_by(F.struct("node", "component", "mark"), rank).alias("c"))
-            stars = write_once(still.join(centre, "band"), "stars")
-            pairs = stars.data.where((F.col("component") != F.col("c.component")) & possible(F.col("mark"), F.col("c.mark")))
-            pairs = pairs.select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b"))
-        pairs = pairs.select("a", "b").distinct()
-        pairs = write_once(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, "pairs")
-        found = verify(pairs.data)
-        links = found.data if links is None else links.union(found.data)
-        tested = pairs.data if tested is None else tested.union(pairs.data)
-        if components is not None:
-            components.remove()
-        components = connected_components(links)
-        labelled.remove()
-        mixed.remove()
-        if last:
-            break
-        open_members = write_once(stars.data.where("node <> c.node").select("node", "band", "mark", "degree"), "members")
-        stars.remove()
-    return components if components is not None else connected_components(members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
+    ranked = write_once(members.join(central, "node"), "members")
+    rank = F.struct("degree", "node")
+    centre = ranked.data.groupBy("band").agg(F.max_by(F.struct("node", "mark"), rank).alias("c"))
+    around = write_once(ranked.data.join(centre, "band").where("node <> c.node"), "stars")
+    pairs = around.data.where(possible(F.col("mark"), F.col("c.mark"))).select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
+    links = verify(write_once(pairs, "pairs").data)
+    first = connected_components(links.data)
+    labelled = around.data.select("band", "node", "mark").join(first.data, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = write_once(labelled, "labelled")
+    mixed = labelled.data.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    more = write_once(rest(labelled.data.join(mixed.select("band"), "band")), "links")
+    both = connected_components(links.data.union(more.data))
+    for table in (ranked, around, labelled, first, links, more):
+        table.remove()
+    return both

@@ -26,8 +26,7 @@ SIMILARITY = 75  # per cent
 SLOTS = 128
 BAND = 4  # slots in a band: a pair at the threshold is missed with a probability of 5e-6
 ELEMENTS = 150_000  # taken through the steps together
-# Pairs left over after a round of stars that are few enough to be verified one by one, for each document.
-LEFT_OVER = 4
+BLOCK = 512  # sets compared with each other in one place
 _EMPTY = np.iinfo(np.int64).max
 
 
@@ -133,9 +132,8 @@ def _verify(pairs: DataFrame, texts: DataFrame, percent: int) -> WrittenTable:
                 if last_set is None or text_a != last:
                     last, last_set = text_a, shingle_hashes(folded_words(text_a), SHINGLE)
                 other = shingle_hashes(folded_words(text_b), SHINGLE)
-                low, high = sorted((len(last_set), len(other)))
-                common = len(np.intersect1d(last_set, other, assume_unique=True)) if 100 * low >= percent * high and low else 0
-                good.append(low > 0 and 100 * common >= percent * (low + high - common))
+                common = len(np.intersect1d(last_set, other, assume_unique=True))
+                good.append(common > 0 and 100 * common >= percent * (len(last_set) + len(other) - common))
             mask = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], names=["a", "b"])
 
@@ -143,12 +141,83 @@ def _verify(pairs: DataFrame, texts: DataFrame, percent: int) -> WrittenTable:
     return write_once(joined.select("a", "b", "text_a", "text_b").mapInArrow(work, schema).distinct(), "links")
 
 
+def block_links(nodes: list, parts: list, outer: list[bool], sets: list[np.ndarray], percent: int) -> list[tuple]:
+    """Links (a, b) between different parts of one block, of pairs with at least one outer node.
+
+    Shingles of all sets are sorted once; each outer set then counts what it shares with every other one.
+    """
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    values = np.concatenate(sets)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    sizes = np.array([len(s) for s in sets])
+    out = []
+    for i in range(len(sets)):
+        if outer[i]:
+            low, high = np.searchsorted(values, sets[i], "left"), np.searchsorted(values, sets[i], "right")
+            counts = high - low
+            at = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(low, counts)
+            common = np.bincount(owner[at], minlength=len(sets))
+            for j in np.flatnonzero(100 * common >= percent * (sizes[i] + sizes - common)):
+                if parts[i] != parts[j]:
+                    out.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j])))
+    return out
+
+
+def _rest(members: DataFrame, texts: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """Links between the components of each bucket (band, node, component), tested in blocks of nodes.
+
+    Nodes outside the largest component of a bucket are outer. Each block of outer nodes meets each block of the
+    bucket in one place, where their sets are compared and only links come out: what is moved is a set for each
+    block that it meets, never a pair.
+    """
+    kind = members.schema["node"].dataType
+    parts = members.groupBy("band", "component").agg(F.count("*").alias("n"))
+    sizes = parts.groupBy("band").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.max("n").alias("n_main"), F.sum("n").alias("n"))
+    named = members.join(sizes, "band").withColumn("outer", F.col("component") != F.col("main"))
+    many = lambda n: F.greatest(F.lit(1), F.ceil(n / block)).cast("int")
+    named = named.withColumn("outers", many(F.col("n") - F.col("n_main"))).withColumn("mains", many(F.col("n_main")))
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("outer"), F.col("outers")).otherwise(F.col("mains"))).cast("int")
+    # Places are (outer block, other block); other blocks are numbered with those of the main component first.
+    as_outer = F.transform(F.sequence(F.lit(0), F.col("mains") + own), lambda j: F.struct(own.alias("i"), j.alias("j")))
+    as_other = F.transform(F.sequence(own + 1, F.col("outers") - 1), lambda i: F.struct(i.alias("i"), (F.col("mains") + own).alias("j")))
+    as_main = F.transform(F.sequence(F.lit(0), F.col("outers") - 1), lambda i: F.struct(i.alias("i"), own.alias("j")))
+    places = F.when(~F.col("outer"), as_main).when(own + 1 <= F.col("outers") - 1, F.concat(as_outer, as_other)).otherwise(as_outer)
+    placed = named.select("band", "node", "component", "outer", F.explode(places).alias("place")).select("band", "place.i", "place.j", "node", "component", "outer")
+    joined = placed.join(texts.select(F.col("doc_id").alias("node"), "text"), "node").repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = None
+        place, nodes, components, outer, sets = None, [], [], [], []
+
+        def done() -> pa.RecordBatch:
+            links = block_links(nodes, components, outer, sets, percent)
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], arrow) for k in (0, 1)], names=["a", "b"])
+
+        for batch in batches:
+            arrow = batch.schema.field(3).type
+            columns = [batch.column(i).to_pylist() for i in range(6)]
+            for band, i, j, node, component, is_outer, text in zip(*columns, utf8(batch.column(6))):
+                if place != (band, i, j):
+                    if nodes:
+                        yield done()
+                    place, nodes, components, outer, sets = (band, i, j), [], [], [], []
+                nodes.append(node)
+                components.append(component)
+                outer.append(is_outer)
+                sets.append(shingle_hashes(folded_words(text), SHINGLE))
+        if nodes:
+            yield done()
+
+    return joined.select("band", "i", "j", "node", "component", "outer", "text").mapInArrow(work, schema).distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     percent: int = SIMILARITY,
-    left_over: int = LEFT_OVER,
 ) -> DataFrame:
     """Groups of documents linked by a Jaccard similarity of their 5-word shingles of at least `percent`.
 
@@ -172,7 +241,7 @@ def near_duplicates(
     texts = write_once(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(wanted, "doc_id", "left_semi"), "texts")
     # Sets whose sizes alone rule out the similarity are not compared.
     sizes = lambda m, n: 100 * F.least(m, n) >= percent * F.greatest(m, n)
-    groups = linked_groups(members.data, lambda pairs: _verify(pairs, texts.data, percent), sizes, left_over * sketches.rows)
+    groups = linked_groups(members.data, lambda pairs: _verify(pairs, texts.data, percent), sizes, lambda open_members: _rest(open_members, texts.data, percent))
     # Classes of more than one copy and ids of several classes link through their ids.
     rep_of = join_unique(some.select("doc_id", "set_key"), classes.data, "set_key", "copies", sketches.rows).where("doc_id <> rep").select("doc_id", "rep")
     edges = rep_of.union(groups.data.select("node", "component"))
