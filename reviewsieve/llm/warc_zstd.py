@@ -162,8 +162,11 @@ def frames(stream) -> Iterator[bytes]:
 def train_dictionary(pages: DataFrame, html_col: str = "html") -> bytes | None:
     """A dictionary from a sample of SAMPLE_PAGES pages, SAMPLE_BYTES of each; none if there are too few."""
     html = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
-    sample = pages.select(F.sha1(html).alias("key"), F.substring(html, 1, SAMPLE_BYTES).alias("head")).orderBy("key").limit(SAMPLE_PAGES)
-    heads = [bytes(r["head"]) for r in sample.collect() if len(r["head"]) >= 64]
+    # Every task offers its smallest digests; texts are fetched for those that are the smallest of all.
+    last = pages.select(F.sha1(html).alias("key")).distinct().orderBy("key").limit(SAMPLE_PAGES).agg(F.max("key")).first()[0]
+    sample = pages.select(F.sha1(html).alias("key"), F.substring(html, 1, SAMPLE_BYTES).alias("head")).where(F.col("key") <= last)
+    # Copies of a page are one of the sample.
+    heads = [bytes(r["head"]) for r in sample.groupBy("key").agg(F.min("head").alias("head")).orderBy("key").collect() if len(r["head"]) >= 64]
     if len(heads) < 8:
         return None
     try:
@@ -209,7 +212,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", html_
             for page_id, url, html, refers_to in zip(*(c.to_pylist() for c in batch.columns)):
                 if out is None:
                     name = f"part-{TaskContext.get().partitionId():05d}-{len(done)}-{uuid.uuid4().hex}.warc.zst"
-                    out, held = system.open_output_stream(f"{root}/{name}"), 0
+                    out, held = system.open_output_stream(f"{root}/{name}", compression=None), 0
                     done.append([f"{folder}/{name}", 0])
                     if body:
                         out.write(struct.pack("<II", DICTIONARY_FRAME, len(body)) + body)
@@ -276,7 +279,7 @@ def _batch(rows: list[dict]) -> pa.RecordBatch:
 def _records(path: str, strict: bool) -> Iterator[dict]:
     system, name = open_path(path)
     try:
-        with system.open_input_stream(name) as stream:
+        with system.open_input_stream(name, compression=None) as stream:
             for frame in frames(stream):
                 try:
                     yield {"path": path, **parse_record(frame)}
