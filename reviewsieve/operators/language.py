@@ -1,26 +1,25 @@
 """Language identification by character trigrams.
 
-Profiles are trained from labelled text as a grouping job. Detection explodes
-each text into words and trigrams, joins the trigrams with the profile weights
-and adds the weights up per text. The weights are integers, so every engine
-and every partitioning gives the same sums.
+Profiles are trained from labelled text as a grouping job. Detection scores each text where it is: an
+Arrow-batched function adds up the trigram weights of its words, from a broadcast of the profiles, so no row
+moves and the input is read once. The weights are integers, so every engine and every partitioning
+gives the same sums.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewsieve.fixed_values import KEEP_UNDETECTABLE, PROFILE_SIZE, TARGET_LANGUAGE
-from reviewsieve.session import WrittenTable, write_once
+from reviewsieve.session import write_once
 
-# A model holds one weight column per language.
-MAX_LANGUAGES = 200
-
-# Words whose weights are looked up as a whole, a few megabytes to broadcast.
-FREQUENT_WORDS = 50_000
+# Words whose weights a worker remembers; others are worked out again.
+REMEMBERED_WORDS = 200_000
 
 # Every position of a word, one code point at a time, with the three characters
 # that start there.
@@ -79,121 +78,99 @@ def build_language_profiles(
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Weights per language of trigrams, and their sums for frequent words.
+    """Weights of trigrams: for each, a few pairs of (language, weight).
 
-    Both tables have one column per language. A word in `words` weighs what its
-    trigrams weigh together, so looking it up changes the cost, not the result.
+    At most `k` trigrams of each language are known, whatever the size of the labelled text. The driver holds
+    them, and a session broadcasts them to the tasks of each query.
     """
 
-    weights: WrittenTable
-    words: WrittenTable
     languages: tuple[str, ...]
-
-
-def _weight_columns(languages: tuple[str, ...], prefix: str) -> list[str]:
-    return [f"{prefix}{i}" for i in range(len(languages))]
+    weights: dict[str, tuple[tuple[int, int], ...]]
 
 
 def train_language_model(
     labeled: DataFrame,
     k: int = PROFILE_SIZE,
-    frequent_words: int = FREQUENT_WORDS,
     text_col: str = "text",
     lang_col: str = "lang",
 ) -> LanguageModel:
-    """Profiles of the labelled text, as a table of weights.
+    """Profiles of the labelled text as a model.
 
     A trigram of rank r weighs k + 1 - r, an unknown one nothing. The language
     with the highest sum is the one with the lowest sum of ranks when unknown
     trigrams are charged k + 1.
     """
-    counts = write_once(_word_counts(labeled, text_col, lang_col), "word-counts").data
-    profiles = write_once(_profiles(counts, k), "profiles").data
-    found = profiles.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect()
-    if not found:
+    counts = write_once(_word_counts(labeled, text_col, lang_col), "word-counts")
+    try:
+        profiles = _profiles(counts.data, k).collect()
+    finally:
+        counts.remove()
+    if not profiles:
         raise ValueError("the labelled text holds no words to build a profile from")
-    if len(found) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages in the labelled text")
-    languages = tuple(sorted(row.lang for row in found))
-    of_gram, of_word = _weight_columns(languages, "g"), _weight_columns(languages, "w")
-
-    def weight(lang: str) -> Column:
-        return F.sum(F.when(F.col("lang") == lang, k + 1 - F.col("rank")))
-
-    weights = write_once(
-        profiles.groupBy("gram").agg(
-            *[
-                F.coalesce(weight(lang), F.lit(0)).cast("long").alias(g)
-                for lang, g in zip(languages, of_gram)
-            ]
-        ),
-        "gram-weights",
-    )
-    frequent = (
-        counts.groupBy("word")
-        .agg(F.sum("uses").alias("uses"))
-        .orderBy(F.desc("uses"), F.asc("word"))
-        .limit(frequent_words)
-    )
-    words = (
-        frequent.select("word", F.explode(_trigrams(F.col("word"))).alias("gram"))
-        .join(weights.sized_for_join(), "gram", "left")
-        .groupBy("word")
-        .agg(*[F.coalesce(F.sum(g), F.lit(0)).alias(w) for g, w in zip(of_gram, of_word)])
-    )
-    return LanguageModel(weights, write_once(words, "word-weights"), languages)
+    languages = tuple(sorted({row["lang"] for row in profiles}))
+    place = {lang: i for i, lang in enumerate(languages)}
+    weights: dict[str, list[tuple[int, int]]] = {}
+    for row in profiles:
+        weights.setdefault(row["gram"], []).append((place[row["lang"]], k + 1 - row["rank"]))
+    return LanguageModel(languages, {gram: tuple(w) for gram, w in weights.items()})
 
 
-def language_scores(
-    texts: DataFrame, text_col: str, model: LanguageModel, key: str
-) -> DataFrame:
-    """(key, language) of each text with at least one known trigram.
+def language_of(text: Column, model: LanguageModel, spark: SparkSession) -> Column:
+    """Language of a text: null for a null text and where no trigram is known.
 
-    A frequent word is looked up as a whole; only other words are taken apart
-    into trigrams. Weights are summed up per key before the shuffle, which then
-    moves about one small row per text.
+    Words repeat, so a worker keeps the summed weights of those it has seen.
     """
-    of_gram = _weight_columns(model.languages, "g")
-    of_word = _weight_columns(model.languages, "w")
-    frequent, known = F.col(of_word[0]).isNotNull(), F.col(of_gram[0]).isNotNull()
-    words = texts.select(key, F.explode(_words(F.col(text_col))).alias("word")).join(
-        model.words.sized_for_join(), "word", "left"
-    )
-    grams = F.when(~frequent, _trigrams(F.col("word")))
-    sums = (
-        words.select(key, *of_word, F.explode_outer(grams).alias("gram"))
-        .join(model.weights.sized_for_join(), "gram", "left")
-        .where(frequent | known)
-        .groupBy(key)
-        .agg(*[F.sum(F.coalesce(w, g)).alias(w) for w, g in zip(of_word, of_gram)])
-    )
-    best = F.greatest(*of_word) if len(of_word) > 1 else F.col(of_word[0])
-    # Languages are in alphabetical order, so a tie goes to the first of them.
-    language = F.coalesce(
-        *[F.when(F.col(w) == best, F.lit(lang)) for w, lang in zip(of_word, model.languages)]
-    )
-    return sums.where(best > 0).select(key, language.alias("language"))
+    shared, most = spark.sparkContext.broadcast((model.languages, model.weights)), REMEMBERED_WORDS
+
+    # All that runs in a task is inside, so that it travels with the query.
+    def detect(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        languages, weights = shared.value
+        known: dict[str, tuple[tuple[int, int], ...]] = {}
+
+        def weigh(word: str) -> tuple[tuple[int, int], ...]:
+            sums: dict[int, int] = {}
+            padded = f" {word} "
+            for i in range(len(word)):
+                for language, weight in weights.get(padded[i : i + 3], ()):
+                    sums[language] = sums.get(language, 0) + weight
+            if len(known) >= most:
+                known.clear()
+            return known.setdefault(word, tuple(sums.items()))
+
+        def best(words: str | None) -> str | None:
+            if not words:
+                return None
+            sums = [0] * len(languages)
+            for word in words.split(" "):
+                found = known.get(word)
+                for language, weight in weigh(word) if found is None else found:
+                    sums[language] += weight
+            top = max(sums)
+            # Languages are in alphabetical order, so a tie goes to the first of them.
+            return languages[sums.index(top)] if top > 0 else None
+
+        for batch in batches:
+            yield pd.Series([best(words) for words in batch], dtype=object)
+
+    return F.pandas_udf(detect, "string")(letters_only(text))
 
 
 def detect_language(
     df: DataFrame,
     text_col: str,
     model: LanguageModel,
-    key: str = "ingest_seq",
     target: str = TARGET_LANGUAGE,
     enabled: bool = True,
 ) -> DataFrame:
     """Add `language`: null where undetectable, the target where the text is empty.
 
-    `key` must be unique. With `enabled=False` every row gets the target.
+    With `enabled=False` every row gets the target.
     """
     if not enabled:
         return df.withColumn("language", F.lit(target))
-    scores = language_scores(df, text_col, model, key)
-    empty = F.coalesce(F.col(text_col), F.lit("")) == ""
-    return df.join(scores, key, "left").withColumn(
-        "language", F.when(empty, F.lit(target)).otherwise(F.col("language"))
-    )
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    detected = language_of(text, model, df.sparkSession)
+    return df.withColumn("language", F.when(text == "", F.lit(target)).otherwise(detected))
 
 
 def language_accepted(
@@ -206,13 +183,12 @@ def language_filter(
     df: DataFrame,
     text_col: str,
     model: LanguageModel,
-    key: str = "ingest_seq",
     target: str = TARGET_LANGUAGE,
     keep_undetectable: bool = KEEP_UNDETECTABLE,
     enabled: bool = True,
 ) -> DataFrame:
     """Add `language` and `accepted`."""
-    detected = detect_language(df, text_col, model, key, target, enabled)
+    detected = detect_language(df, text_col, model, target, enabled)
     return detected.withColumn(
         "accepted", language_accepted(F.col("language"), target, keep_undetectable)
     )

@@ -74,7 +74,7 @@ def language_estimate(
 ) -> DataFrame:
     """Non-English and undetectable texts in a sample of the non-empty ones."""
     texts = df.where(F.length(text_col) > 0).select(key, text_col)
-    detected = detect_language(seeded_sample(texts, n, key, seed), text_col, model, key)
+    detected = detect_language(seeded_sample(texts, n, key, seed), text_col, model)
     counted = detected.agg(
         F.count(F.lit(1)).alias("sample_size"),
         F.count_if(F.col("language") != TARGET_LANGUAGE).alias("non_english"),

@@ -17,7 +17,7 @@ from reviewsieve.fixed_values import (
     UNDETECTABLE_LANGUAGE,
 )
 from reviewsieve.functions import normalize_review_text, review_hash, validate_rating
-from reviewsieve.operators.language import LanguageModel, language_accepted, language_scores
+from reviewsieve.operators.language import LanguageModel, language_accepted, language_of
 
 
 def _text_reason(raw: Column, normalized: Column, split_missing: bool) -> Column:
@@ -50,30 +50,26 @@ def check_text_and_rating(
 def attach_language(
     checked: DataFrame,
     model: LanguageModel | None,
-    order: str = "ingest_seq",
     target: str = TARGET_LANGUAGE,
     keep_undetectable: bool = KEEP_UNDETECTABLE,
 ) -> DataFrame:
-    """Add `_language` and complete `_reason`.
+    """Add `_language` and complete `_reason`, row by row.
 
-    Detection reads only the key and text of rows that passed the cheap checks.
-    Without a model the language check is off and every such row has the target.
+    Rows that failed a cheaper check give a null text to detection, which costs nothing.
+    Without a model the language check is off and every other row has the target.
     """
     passed = F.col("_reason").isNull()
     if model is None:
         return checked.withColumn("_language", F.when(passed, F.lit(target)))
-    # Failed rows lose their text here and so explode to nothing. A filter would
-    # be pushed down and evaluate the normalization a second time.
-    candidates = checked.select(order, F.when(passed, F.col("_text")).alias("_text"))
-    scores = language_scores(candidates, "_text", model, order)
-    joined = checked.join(scores.withColumnRenamed("language", "_language"), order, "left")
+    language = language_of(F.when(passed, F.col("_text")), model, checked.sparkSession)
+    judged = checked.withColumn("_language", language)
     language_reason = F.when(
         passed & ~language_accepted(F.col("_language"), target, keep_undetectable),
         F.when(F.col("_language").isNull(), F.lit(UNDETECTABLE_LANGUAGE)).otherwise(
             F.lit(NON_ENGLISH)
         ),
     )
-    return joined.withColumn("_reason", F.coalesce(F.col("_reason"), language_reason))
+    return judged.withColumn("_reason", F.coalesce(F.col("_reason"), language_reason))
 
 
 def validate_reviews(
@@ -82,17 +78,15 @@ def validate_reviews(
     text_col: str = "text",
     rating_col: str = "rating",
     split_missing: bool = False,
-    order: str = "ingest_seq",
     target: str = TARGET_LANGUAGE,
     keep_undetectable: bool = KEEP_UNDETECTABLE,
 ) -> DataFrame:
     """Add a `validation` struct; the first failed check gives the reason.
 
-    `order` must be a unique column. Fields of checks that come after the
-    failed one are null.
+    Fields of checks that come after the failed one are null.
     """
     checked = check_text_and_rating(df, text_col, rating_col, split_missing)
-    judged = attach_language(checked, model, order, target, keep_undetectable)
+    judged = attach_language(checked, model, target, keep_undetectable)
     text_failed = F.length("_text") < MIN_TEXT_LENGTH
     validation = F.struct(
         F.col("_reason").isNull().alias("valid"),
@@ -141,10 +135,9 @@ def preprocess_reviews(
     title_col: str = "title",
     asin_col: str = "asin",
     user_id_col: str = "user_id",
-    order: str = "ingest_seq",
 ) -> DataFrame:
     """Valid reviews with `text_normalized`, `title_normalized`, `review_hash`."""
-    judged = attach_language(check_text_and_rating(df, text_col, rating_col), model, order)
+    judged = attach_language(check_text_and_rating(df, text_col, rating_col), model)
     valid = judged.where(F.col("_reason").isNull())
     cleaned = clean_columns(
         valid, F.col("_text"), F.col("_rating"), rating_col, title_col, asin_col, user_id_col
@@ -158,11 +151,10 @@ def rejected_reviews(
     text_col: str = "text",
     rating_col: str = "rating",
     split_missing: bool = False,
-    order: str = "ingest_seq",
 ) -> DataFrame:
     """Invalid reviews with their `reason`."""
     checked = check_text_and_rating(df, text_col, rating_col, split_missing)
-    judged = attach_language(checked, model, order)
+    judged = attach_language(checked, model)
     return judged.where(F.col("_reason").isNotNull()).select(
         *df.columns, F.col("_reason").alias("reason")
     )

@@ -2,6 +2,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from reviewsieve.operators import language
 from reviewsieve.operators.language import (
     build_language_profiles,
     detect_language,
@@ -18,9 +19,9 @@ TRAINING = [
 ]
 
 
-def small_model(spark, k=300, frequent_words=5):
+def small_model(spark, k=300):
     labeled = spark.createDataFrame(TRAINING, "lang string, text string")
-    return train_language_model(labeled, k, frequent_words)
+    return train_language_model(labeled, k)
 
 
 def trigrams(text):
@@ -61,8 +62,9 @@ def test_detection_equals_brute_force(spark):
         return min(x for x in scores if scores[x] == best) if best else None
 
     df = spark.createDataFrame(list(enumerate(texts)), "ingest_seq long, text string")
-    for frequent_words in (0, 5, 1000):
-        model = small_model(spark, k, frequent_words)
+    for remembered in (1, 1000):
+        language.REMEMBERED_WORDS = remembered
+        model = small_model(spark, k)
         got = {r.text: r.language for r in detect_language(df, "text", model).collect()}
         assert got == {t: want(t) for t in texts}
 

@@ -73,3 +73,15 @@ def test_other_column_names(spark):
     renamed = reviews(spark).withColumnsRenamed({"text": "body", "rating": "stars"})
     got = preprocess_reviews(renamed, small_model(spark), "body", "stars").collect()
     assert {r.ingest_seq for r in got} == {1, 9} and {r.stars for r in got} == {5, 4}
+
+
+def test_language_is_judged_without_moving_rows(spark):
+    """One scan and no exchange, with the text cleaned once."""
+    from reviewsieve.operators.language import train_language_model
+    from reviewsieve.plans.review_view import reviews
+    from tests.conftest import SF_SMALL
+
+    model = train_language_model(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))
+    clean = preprocess_reviews(reviews(spark, SF_SMALL, heavy=False), model)
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Join" not in plan
