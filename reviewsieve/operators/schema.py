@@ -22,8 +22,13 @@ def find_column(columns: Iterable[str], candidates: Iterable[str]) -> str | None
 
     Where two columns fold to one name, the later one is taken.
     """
-    folded = {str(c).strip().lower(): c for c in columns}
-    return next((folded[c] for c in candidates if c in folded), None)
+    rank = {alias: place for place, alias in reversed(list(enumerate(candidates)))}
+    known = [(rank[_folded(c)], -place, c) for place, c in enumerate(columns) if _folded(c) in rank]
+    return min(known)[2] if known else None
+
+
+def _folded(name: str) -> str:
+    return str(name).strip().lower()
 
 
 def _quoted(name: str) -> Column:
@@ -42,9 +47,11 @@ def _key_set(df: DataFrame) -> Column:
     return F.array_compact(F.array(*[F.when(_is_present(f), F.lit(f.name)) for f in fields]))
 
 
-def key_sets(df: DataFrame, max_records: int | None = None) -> DataFrame:
-    """(key_set, records): how many records have exactly these fields."""
-    rows = df if max_records is None else df.limit(max_records)
+def key_sets(
+    df: DataFrame, max_records: int | None = None, order: str = "ingest_seq"
+) -> DataFrame:
+    """(key_set, records): how many records, or of the first ones in `order`, have exactly these fields."""
+    rows = df if max_records is None else df.orderBy(order).limit(max_records)
     return rows.groupBy(_key_set(df).alias("key_set")).agg(F.count(F.lit(1)).alias("records"))
 
 
@@ -116,10 +123,10 @@ def classify_dataset(df: DataFrame) -> DataFrame:
     """One row: known fields seen, and whether this is metadata or review data."""
 
     def names(kind: str) -> Column:
-        return F.array_sort(F.collect_set(F.when(F.col("kind") == kind, F.lower("field"))))
+        return F.array_sort(F.collect_set(F.when(F.col("kind") == kind, F.lower(F.trim("field")))))
 
     def any_of(aliases: Iterable[str]) -> Column:
-        return F.coalesce(F.max(F.lower("field").isin(*aliases)), F.lit(False))
+        return F.coalesce(F.max(F.lower(F.trim("field")).isin(*aliases)), F.lit(False))
 
     found = known_fields(df).agg(
         names("review").alias("review"),
@@ -146,6 +153,7 @@ def validate_review_schema(
         raise ValueError("No review text column: the data may be metadata or use other names.")
     if rating is None or rating not in df.columns:
         raise ValueError("No rating column: the data does not look like rated reviews.")
+    # The names of the report's columns.
     return df.sparkSession.createDataFrame(
         [
             (
@@ -162,11 +170,21 @@ def validate_review_schema(
 
 
 def validate_required_columns(
-    df: DataFrame, required: Iterable[str], name: str = ""
+    df: DataFrame, required: T.StructType | Iterable[str], name: str = ""
 ) -> DataFrame:
-    """The same DataFrame; raises before any job when a column is missing."""
-    missing = [c for c in required if c not in df.columns]
-    if missing:
-        label = f" {name}" if name else ""
-        raise ValueError(f"Data{label} lacks columns {missing}; it has {list(df.columns)}.")
+    """The same DataFrame, if its schema has the required names, and types where a schema is given.
+
+    Raises before any job, with everything that does not fit.
+    """
+    typed = isinstance(required, T.StructType)
+    wanted = {f.name: f.dataType for f in required.fields} if typed else dict.fromkeys(required)
+    present = {f.name: f.dataType for f in df.schema.fields}
+    faults = []
+    for column, kind in wanted.items():
+        if column not in present:
+            faults.append(f"{column} is missing")
+        elif kind is not None and present[column] != kind:
+            faults.append(f"{column} is {present[column].simpleString()}, not {kind.simpleString()}")
+    if faults:
+        raise ValueError(f"{name or 'Data'} does not fit: {'; '.join(faults)}. Schema: {df.schema.simpleString()}")
     return df

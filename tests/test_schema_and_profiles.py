@@ -73,7 +73,7 @@ def test_schema_validation(spark, mixed):
     with pytest.raises(ValueError, match="rating"):
         schema.validate_review_schema(mixed.drop("rating"))
     assert schema.validate_required_columns(mixed, ["text"]) is mixed
-    with pytest.raises(ValueError, match="'stars'"):
+    with pytest.raises(ValueError, match="stars is missing"):
         schema.validate_required_columns(mixed, ["text", "stars"], "upload.csv")
 
 
@@ -113,3 +113,27 @@ def test_language_estimate(spark):
     )
     got = profiling.language_estimate(df, small_model(spark)).first()
     assert tuple(got) == (3, 1, 1, 1 / 3, 1 / 3)
+
+
+def test_required_types(spark, mixed):
+    from pyspark.sql import types as T
+
+    fits = T.StructType([T.StructField("text", T.StringType()), T.StructField("price", T.DoubleType())])
+    assert schema.validate_required_columns(mixed, fits) is mixed
+    other = T.StructType([T.StructField("text", T.LongType()), T.StructField("stars", T.LongType())])
+    with pytest.raises(ValueError, match="text is string, not bigint; stars is missing"):
+        schema.validate_required_columns(mixed, other)
+
+
+def test_padded_names_are_classified_by_their_trimmed_form(spark):
+    df = spark.createDataFrame([("a", "5")], "` Text` string, `rating ` string")
+    row = schema.classify_dataset(df).first()
+    assert row.review_like_fields_found == "rating,text" and row.is_review_data
+    assert schema.find_column(df.columns, ["body", "text"]) == " Text"
+    assert schema.find_column(["text", "TEXT "], ["text"]) == "TEXT "
+    assert schema.find_column(["review", "text"], ["text", "review"]) == "text"
+
+
+def test_first_records_of_key_sets_are_ordered(spark):
+    df = spark.createDataFrame([(i, "x" if i < 5 else None) for i in range(40)], "ingest_seq long, t string").repartition(7)
+    assert [tuple(r) for r in schema.key_sets(df, 5).collect()] == [(["ingest_seq", "t"], 5)]
