@@ -73,7 +73,8 @@ class DedupeStore:
             F.lit(run_id).alias("run_id"),
             F.lit(batch_id).cast("long").alias("batch_id"),
         )
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        # Small partitions are put together, so that a batch does not leave a file for each of them.
+        rows.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "run_id", "batch_id"
         ).parquet(self.path)
 
@@ -92,6 +93,17 @@ def known_keys(keys: WrittenTable, stored: DataFrame, hash_col: str = "review_ha
     return F.broadcast(found)
 
 
+def unknown_keys(keys: WrittenTable, stored: DataFrame) -> DataFrame:
+    """The unique `keys` (with all their columns) that `stored` does not hold.
+
+    A small batch is broadcast to the scan of the store, and what is found to the batch, so nothing is
+    shuffled; a large one takes a single anti join.
+    """
+    if keys.rows > BROADCAST_ROWS:
+        return keys.data.join(stored, "review_hash", "left_anti")
+    return keys.data.join(known_keys(keys, stored), "review_hash", "left_anti")
+
+
 def _hash_groups(df: DataFrame, hash_col: str, order: str) -> WrittenTable:
     groups = df.groupBy(hash_col).agg(
         F.min(order).alias("_first"), F.count(F.lit(1)).alias("_copies")
@@ -115,7 +127,6 @@ def new_hashes(
 ) -> DataFrame:
     """Hashes that an insert of `df` would add, each with the row it comes from."""
     groups = _hash_groups(df, hash_col, order)
-    known = known_keys(groups, stored)
-    return groups.data.join(known, "review_hash", "left_anti").select(
+    return unknown_keys(groups, stored).select(
         "review_hash", F.col("_first").alias(order)
     )

@@ -1,6 +1,6 @@
 """One increment: validate, drop what is known, count.
 
-The verdict on each row is worked out on narrow rows (order, reason, hash) and
+Hash, verdict and output all come from the one cleaning expression. The verdict on each row is worked out on narrow rows (order, reason, hash) and
 written once. Whole reviews move at most once, in a join on the unique order
 column, so neither copies nor a large store skew that shuffle.
 """
@@ -12,10 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewsieve.functions import normalize_review_text, validate_rating
 from reviewsieve.operators.language import LanguageModel
 from reviewsieve.operators.quality import pipeline_stats
-from reviewsieve.operators.store import DedupeStore, known_keys
+from reviewsieve.operators.store import DedupeStore, unknown_keys
 from reviewsieve.operators.validation import (
     attach_language,
     check_text_and_rating,
@@ -39,19 +38,31 @@ class Increment:
             table.remove()
 
 
+@dataclass(frozen=True)
+class ReviewColumns:
+    """Names of the columns that an increment reads."""
+
+    text: str = "text"
+    rating: str = "rating"
+    title: str = "title"
+    asin: str = "asin"
+    user_id: str = "user_id"
+
+
+def _cleaned(df: DataFrame, names: ReviewColumns) -> DataFrame:
+    """Reviews with `_reason` of the cheap checks, the cleaned columns and the hash."""
+    checked = check_text_and_rating(df, names.text, names.rating)
+    return clean_columns(checked, F.col("_text"), F.col("_rating"), names.rating, names.title, names.asin, names.user_id)
+
+
 def decide_reviews(
     df: DataFrame,
     model: LanguageModel | None,
-    text_col: str = "text",
-    rating_col: str = "rating",
+    names: ReviewColumns = ReviewColumns(),
     order: str = "ingest_seq",
 ) -> DataFrame:
     """(order, reason, review_hash) of each review; the hash is null if rejected."""
-    checked = check_text_and_rating(df, text_col, rating_col)
-    hashed = clean_columns(checked, F.col("_text"), F.col("_rating"), rating_col)
-    judged = attach_language(
-        hashed.select(order, "_text", "_reason", "review_hash"), model, order
-    )
+    judged = attach_language(_cleaned(df, names).select(order, "_text", "_reason", "review_hash"), model)
     valid = F.col("_reason").isNull()
     return judged.select(
         order,
@@ -66,8 +77,7 @@ def preprocess_increment(
     model: LanguageModel | None,
     run_id: str = "",
     batch_id: int = 0,
-    text_col: str = "text",
-    rating_col: str = "rating",
+    names: ReviewColumns = ReviewColumns(),
     order: str = "ingest_seq",
 ) -> Increment:
     """Clean rows of a batch that no earlier batch has stored.
@@ -76,7 +86,7 @@ def preprocess_increment(
     failed half-way gives the same result when it is tried again. Without a
     store, only repeats within the batch are dropped.
     """
-    decided = write_once(decide_reviews(df, model, text_col, rating_col, order), "decided")
+    decided = write_once(decide_reviews(df, model, names, order), "decided")
     firsts = write_once(
         decided.data.where(F.col("reason").isNull())
         .groupBy("review_hash")
@@ -85,16 +95,9 @@ def preprocess_increment(
     )
     tables, fresh = (decided, firsts), firsts
     if store is not None:
-        known = known_keys(firsts, store.hashes(run_id, batch_id))
-        fresh = write_once(firsts.data.join(known, "review_hash", "left_anti"), "fresh")
+        fresh = write_once(unknown_keys(firsts, store.hashes(run_id, batch_id)), "fresh")
         tables = (decided, firsts, fresh)
-    kept = df.join(fresh.sized_for_join(), order)
-    clean = kept.withColumns(
-        {
-            "text_normalized": normalize_review_text(F.col(text_col)),
-            "title_normalized": normalize_review_text(F.col("title")),
-            rating_col: validate_rating(F.col(rating_col)),
-        }
-    ).select(*df.columns, "text_normalized", "title_normalized", "review_hash")
+    kept = df.join(fresh.sized_for_join().select(order), order)
+    clean = _cleaned(kept, names).select(*df.columns, "text_normalized", "title_normalized", "review_hash")
     stats = pipeline_stats(decided.data, F.lit(fresh.rows))
     return Increment(clean, fresh.data.select("review_hash"), stats, tables)

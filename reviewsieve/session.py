@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # A side of a join is broadcast only when it was counted and has at most this
-# many rows. The sides counted here are narrow (a key and a few numbers), so
-# this is some tens of megabytes.
+# many rows.
 BROADCAST_ROWS = 250_000
+# Nor may its files be larger than this.
+BROADCAST_BYTES = 32 << 20
 
 
 def build_session(master: str | None = None, **conf: str) -> SparkSession:
@@ -72,6 +73,15 @@ def remove_path(spark: SparkSession, path: str) -> None:
     file_system.delete(hadoop_path, True)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of all files below a path; 0 for a table that was never written."""
+    if not path:
+        return 0
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return file_system.getContentSummary(hadoop_path).getLength()
+
+
 def spread(df: DataFrame, key: str) -> DataFrame:
     """Give every core a share of an input that comes in fewer pieces than cores.
 
@@ -91,8 +101,9 @@ class WrittenTable:
     path: str
 
     def sized_for_join(self, limit: int = BROADCAST_ROWS) -> DataFrame:
-        """Broadcast when the counted size allows it, else a shuffled join."""
-        return F.broadcast(self.data) if self.rows <= limit else self.data
+        """Broadcast when the counted rows and the written bytes allow it, else a shuffled join."""
+        small = self.rows <= limit and stored_bytes(self.data.sparkSession, self.path) <= BROADCAST_BYTES
+        return F.broadcast(self.data) if small else self.data
 
     def remove(self) -> None:
         remove_path(self.data.sparkSession, self.path)

@@ -10,7 +10,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from reviewsieve.fixed_values import REASONS
 from reviewsieve.operators.language import LanguageModel
 from reviewsieve.operators.store import DedupeStore
-from reviewsieve.plans.increments import preprocess_increment
+from reviewsieve.plans.increments import ReviewColumns, preprocess_increment
 from reviewsieve.session import path_exists, spread, write_once
 from reviewsieve.sources.readers import FILE_PLACE, numbered
 from reviewsieve.sources.writers import append_clean
@@ -64,6 +64,7 @@ def run_preprocess_stream(
     stats_path: str,
     model: LanguageModel | None,
     order: str = "ingest_seq",
+    names: ReviewColumns = ReviewColumns(),
 ) -> StreamingQuery:
     """Start a query that processes everything that `source` has, then stops.
 
@@ -86,15 +87,19 @@ def run_preprocess_stream(
             rows = write_once(spread(batch, order), "batch")
         else:
             rows = numbered(batch, order)
-        increment = preprocess_increment(rows.data, store, model, run_id, batch_id, order=order)
-        clean = increment.clean.drop(FILE_PLACE)
-        if order not in batch.columns:
-            clean = clean.drop(order)
-        append_clean(clean, out_path, run_id, batch_id)
-        store.insert(increment.hashes, run_id, batch_id)
-        _append_stats(increment.stats, stats_path, run_id, batch_id)
-        increment.release()
-        rows.remove()
+        tables = [rows]
+        try:
+            increment = preprocess_increment(rows.data, store, model, run_id, batch_id, names, order)
+            tables += increment.tables
+            clean = increment.clean.drop(FILE_PLACE)
+            if order not in batch.columns:
+                clean = clean.drop(order)
+            append_clean(clean, out_path, run_id, batch_id)
+            store.insert(increment.hashes, run_id, batch_id)
+            _append_stats(increment.stats, stats_path, run_id, batch_id)
+        finally:
+            for table in tables:
+                table.remove()
 
     return (
         source.writeStream.foreachBatch(process)

@@ -103,3 +103,43 @@ def test_rows_without_an_order_column(spark, tmp_path, landed):
     one = spark.read.json(f"{tmp_path}/clean").drop("run_id", "batch_id")
     assert "ingest_seq" not in one.columns and "_file_place" not in one.columns
     assert one.where(F.col("timestamp").rlike("^2020-01-0")).count() == one.count()
+
+
+def test_failed_and_finished_batches_leave_no_scratch(spark, tmp_path, landed, monkeypatch):
+    from reviewsieve import session
+    from reviewsieve.plans import increments
+
+    made = []
+
+    def noted(df, label):
+        table = session.write_once(df, label)
+        made.append(table.path)
+        return table
+
+    monkeypatch.setattr(increments, "write_once", noted)
+    monkeypatch.setattr(runner, "write_once", noted)
+    raw, hashes = landed
+
+    def broken(*args):
+        raise RuntimeError("stop")
+
+    with monkeypatch.context() as m:
+        m.setattr(runner, "_append_stats", broken)
+        with pytest.raises(Exception, match="stop"):
+            start(spark, tmp_path, raw.schema)
+    start(spark, tmp_path, raw.schema)
+    assert made and not any(session.path_exists(spark, path) for path in made)
+    assert sorted(written(spark, tmp_path)) == sorted(hashes)
+
+
+def test_other_column_names(spark, tmp_path):
+    from reviewsieve.plans.increments import ReviewColumns, preprocess_increment
+
+    raw = reviews(spark, SF_SMALL)
+    renamed = raw.withColumnsRenamed({"text": "body", "rating": "stars", "title": "head", "asin": "item", "user_id": "who"})
+    names = ReviewColumns("body", "stars", "head", "item", "who")
+    want = {r.review_hash for r in preprocess_increment(raw, None, None).clean.collect()}
+    assert {r.review_hash for r in preprocess_increment(renamed, None, None, names=names).clean.collect()} == want
+    numbers = raw.withColumn("text", F.col("ingest_seq") + 1000).withColumn("title", F.lit(7))
+    for r in preprocess_increment(numbers, None, None).clean.collect():
+        assert (r.text_normalized, r.title_normalized) == (str(r.text), "7")
