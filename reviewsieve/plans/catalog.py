@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewsieve.fixed_values import RATING_ALIASES, TEXT_ALIASES
 from reviewsieve.functions import (
     clean_html,
     normalize_for_duplicate,
@@ -30,6 +31,7 @@ from reviewsieve.sources import (
     append_clean,
     read_clean,
     read_csv,
+    read_json_document,
     read_jsonl,
     read_reviews,
     read_reviews_stream,
@@ -54,8 +56,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversation turns with one unique order column."""
-    order = (F.col("conv_id") * 1_000_000 + F.col("turn")).alias("ingest_seq")
+    """Conversation turns with one unique order column, a struct of conversation and turn."""
+    order = F.struct("conv_id", "turn").alias("ingest_seq")
     return _table(spark, sf_dir, "conversations").select(order, "text")
 
 
@@ -92,8 +94,7 @@ def read_jsonl_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_csv_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    columns = ("ingest_seq", "rating", "title", "text", "asin", "user_id")
-    raw = reviews(spark, sf_dir).select(*columns)
+    raw = reviews(spark, sf_dir)
     return read_csv(spark, _written(raw, ".csv"), raw.schema)
 
 
@@ -101,6 +102,45 @@ def read_reviews_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_reviews(spark, f"{sf_dir}/documents.parquet")
 
 
+def read_json_lines_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines in files named `.json`."""
+    raw = reviews(spark, sf_dir)
+    return read_reviews(spark, _written(raw, ".json"), raw.schema, layout="lines")
+
+
+# Documents in one file of the document query.
+RECORDS_IN_FILE = 50
+
+
+def read_json_document_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of all layouts side by side: arrays, two wrappers, single objects."""
+    raw = reviews(spark, sf_dir)
+    path = scratch_path(spark, "documents") + ".json"
+    kind, record = F.col("ingest_seq") % 4, F.to_json(F.struct(*raw.columns), {"ignoreNullFields": "false"})
+    one = raw.where(kind == 3).select(record.alias("value"))
+    several = (
+        raw.where(kind < 3)
+        .groupBy(F.floor(F.col("ingest_seq") / (4 * RECORDS_IN_FILE)), kind.alias("kind"))
+        .agg(F.concat(F.lit("["), F.array_join(F.collect_list(record), ",\n"), F.lit("]")).alias("items"))
+    )
+    wrapped = F.when(F.col("kind") == 0, F.col("items")).when(F.col("kind") == 1, F.concat(F.lit('{"reviews": '), "items", F.lit(', "n": 1}')))
+    wrapped = F.coalesce(wrapped, F.concat(F.lit('{"source": "x", "items":\n'), "items", F.lit("}")))
+    # One value in each file.
+    values = several.select(wrapped.alias("value")).union(one)
+    values.write.option("maxRecordsPerFile", 1).option("lineSep", "\n").text(path)
+    return read_json_document(spark, path, raw.schema)
+
+
+def stream_read_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines through a stream, a few files at a time."""
+    raw = reviews(spark, sf_dir)
+    out = scratch_path(spark, "streamed")
+    stream = read_reviews_stream(spark, _written(raw, ".jsonl"), raw.schema, files_per_trigger=2).drop("_file_place")
+    started = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", scratch_path(spark, "offsets")).trigger(availableNow=True).start()
+    started.awaitTermination()
+    return spark.read.schema(raw.schema).parquet(out)
+
+
 def read_uploaded_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = reviews(spark, sf_dir)
     return read_uploaded_data(spark, _written(raw, ".json"), raw.schema)
@@ -142,6 +182,43 @@ def event_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiling.rating_distribution(events, "event_type")
 
 
+def _found_columns(df: DataFrame) -> dict[str, str | None]:
+    return {"text_column": schema.find_column(df.columns, TEXT_ALIASES), "rating_column": schema.find_column(df.columns, RATING_ALIASES)}
+
+
+def find_column_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns found in three tables, with the values they hold."""
+    tables = {"conversations": _table(spark, sf_dir, "conversations"), "pages": _table(spark, sf_dir, "pages"), "reviews": reviews(spark, sf_dir)}
+    reports = []
+    for name, df in tables.items():
+        found = _found_columns(df)
+        reports.append(
+            df.agg(*[(F.count(c) if c else F.lit(0).cast("long")).alias(k.replace("column", "values")) for k, c in found.items()]).select(
+                F.lit(name).alias("table_name"), *[F.lit(c).cast("string").alias(k) for k, c in found.items()], "text_values", "rating_values"
+            )
+        )
+    return reports[0].unionByName(reports[1]).unionByName(reports[2])
+
+
+def validate_schema_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = reviews(spark, sf_dir)
+    report = schema.validate_review_schema(raw).first().asDict()
+    return raw.agg(F.count(F.lit(1)).alias("records")).select(
+        "records",
+        F.lit(",".join(report["review_like_fields_found"])).alias("review_like"),
+        F.lit(",".join(report["metadata_like_fields_found"])).alias("metadata_like"),
+        F.lit(report["text_column"]).alias("text_column"),
+        F.lit(report["rating_column"]).alias("rating_column"),
+        F.lit(report["is_valid_review_dataset"]).alias("is_valid"),
+    )
+
+
+def required_columns_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of a checked schema, counted by type."""
+    events = schema.validate_required_columns(spark.read.parquet(f"{sf_dir}/events.parquet"), ["event_id", "event_type"], "events")
+    return events.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
+
+
 # --- Validation ------------------------------------------------------------------------
 
 
@@ -236,7 +313,10 @@ def _streamed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     """Stream all reviews from JSON-lines files; the folders of rows and counters."""
     raw = reviews(spark, sf_dir)
     source = scratch_path(spark, "landing")
-    raw.repartitionByRange(STREAM_FILES, "ingest_seq").write.json(source)
+    # A file for each increment, one after the other, so that the stream takes them in this order.
+    for increment in range(STREAM_FILES):
+        part = raw.where(F.col("ingest_seq") % STREAM_FILES == increment)
+        part.repartition(1).write.mode("append").json(source)
     out, stats = scratch_path(spark, "clean"), scratch_path(spark, "stats")
     query = run_preprocess_stream(
         read_reviews_stream(spark, source, raw.schema, files_per_trigger=1),
@@ -289,10 +369,17 @@ def queries() -> dict[str, Query]:
 
     return {
         "s1_read_jsonl": read_jsonl_query,
+        "s2_read_json_document": read_json_document_query,
         "s3_read_csv": read_csv_query,
+        "s4_read_json_lines": read_json_lines_query,
+        "s6_read_reviews_stream": stream_read_query,
+        "c1_find_column": find_column_query,
+        "c7_validate_review_schema": validate_schema_query,
+        "c8_validate_required_columns": required_columns_query,
+        "q3_sufficient": lambda spark, sf_dir: quality.data_sufficiency(clean_reviews(spark, sf_dir), 20),
         "s4_read_reviews": read_reviews_query,
         "s5_read_uploaded_data": read_uploaded_query,
-        "s7_first_rows": on_scan(lambda df: profiling.first_rows(df, 10_000)),
+        "s7_first_rows": on_scan(lambda df: profiling.first_rows(df, 150)),
         "s8_save_dataframe": save_dataframe_query,
         "s9_append_clean": append_clean_query,
         "c2_key_sets": on_reviews(lambda df: _joined_keys(schema.key_sets(df))),
@@ -313,7 +400,7 @@ def queries() -> dict[str, Query]:
             lambda df: profiling.seeded_sample(df.select("ingest_seq", "asin", "text"), 100)
         ),
         "p5_language_estimate": lambda spark, sf_dir: profiling.language_estimate(
-            reviews(spark, sf_dir), trained_model(spark, sf_dir)
+            reviews(spark, sf_dir), trained_model(spark, sf_dir), 150
         ),
         "p6_html_rate": on_scan(profiling.html_rate),
         "p7_html_examples": on_scan(profiling.html_examples),
@@ -359,7 +446,7 @@ def queries() -> dict[str, Query]:
         ).select("ingest_seq", "language"),
         "l1_detect_turns": lambda spark, sf_dir: language.detect_language(
             _turns(spark, sf_dir), "text", trained_model(spark, sf_dir)
-        ).select("ingest_seq", "language"),
+        ).select("ingest_seq.*", "language"),
         "l2_language_filter": lambda spark, sf_dir: language.language_filter(
             reviews(spark, sf_dir).select("ingest_seq", "text"),
             "text",
@@ -380,7 +467,7 @@ def queries() -> dict[str, Query]:
         ),
         "u2_duplicate_turns": lambda spark, sf_dir: dedupe.duplicate_mask(
             _turns(spark, sf_dir), ["text"]
-        ).select("ingest_seq", "is_duplicate"),
+        ).select("ingest_seq.*", "is_duplicate"),
         "u3_duplicate_groups": on_keyed(dedupe.duplicate_groups),
         "u4_duplicate_report": on_keyed(dedupe.duplicate_report),
         "u5_hash_uniqueness": lambda spark, sf_dir: dedupe.hash_uniqueness(

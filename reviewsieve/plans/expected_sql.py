@@ -168,6 +168,7 @@ KEYED = f"""
     )"""
 
 COLUMNS = ", ".join(REVIEW_VIEW)
+COLUMN_NAMES = "names AS (SELECT DISTINCT unnest(json_keys(to_json(reviews))) AS name FROM reviews)"
 VALIDATED = [REVIEWS, CHECKED, PROFILES, detected("passed", "norm_text"), JUDGED]
 SORTED_FIELDS = sorted(REVIEW_VIEW)
 
@@ -245,11 +246,30 @@ def expected() -> dict[str, str]:
         # Sources and sinks.
         "s1_read_jsonl": _with([REVIEWS], plain),
         "s3_read_csv": _with(
-            [REVIEWS], "SELECT ingest_seq, rating, title, text, asin, user_id FROM reviews"
+            [REVIEWS], plain
         ),
         "s4_read_reviews": "SELECT doc_id, text, lang, source, n_chars FROM documents",
         "s5_read_uploaded_data": _with([REVIEWS], plain),
-        "s7_first_rows": _with([REVIEWS], plain + " ORDER BY ingest_seq LIMIT 10000"),
+        "s2_read_json_document": _with([REVIEWS], plain),
+        "s4_read_json_lines": _with([REVIEWS], plain),
+        "s6_read_reviews_stream": _with([REVIEWS], plain),
+        "s7_first_rows": _with([REVIEWS], plain + " ORDER BY ingest_seq LIMIT 150"),
+        "c1_find_column": _with(
+            [REVIEWS],
+            """SELECT 'conversations' AS table_name, 'text' AS text_column, NULL AS rating_column,
+                count(text) AS text_values, 0 AS rating_values FROM conversations
+            UNION ALL SELECT 'pages', NULL, NULL, 0, 0 FROM (SELECT count(*) FROM pages)
+            UNION ALL SELECT 'reviews', 'text', 'rating', count(text), count(rating) FROM reviews""",
+        ),
+        "c7_validate_review_schema": _with(
+            [REVIEWS, COLUMN_NAMES],
+            f"""SELECT (SELECT count(*) FROM reviews) AS records,
+                string_agg(name, ',' ORDER BY name) FILTER (name IN {_names(REVIEW_LIKE_FIELDS)}) AS review_like,
+                string_agg(name, ',' ORDER BY name) FILTER (name IN {_names(METADATA_LIKE_FIELDS)}) AS metadata_like,
+                max(name) FILTER (name = 'text') AS text_column, max(name) FILTER (name = 'rating') AS rating_column,
+                bool_or(name = 'text') AND bool_or(name = 'rating') AS is_valid FROM names""",
+        ),
+        "c8_validate_required_columns": "SELECT event_type, count(*) AS events FROM events GROUP BY event_type",
         "s8_save_dataframe": "SELECT conv_id, turn, role, text FROM conversations",
         "s9_append_clean": _with(
             VALIDATED,
@@ -348,7 +368,7 @@ def expected() -> dict[str, str]:
                 REVIEWS,
                 PROFILES,
                 """sampled AS (SELECT ingest_seq, text FROM reviews WHERE length(text) > 0
-                ORDER BY sha256('42:' || CAST(ingest_seq AS VARCHAR)), ingest_seq LIMIT 1000)""",
+                ORDER BY sha256('42:' || CAST(ingest_seq AS VARCHAR)), ingest_seq LIMIT 150)""",
                 detected("sampled", "text"),
             ],
             """SELECT sample_size, non_english, undetectable,
@@ -371,11 +391,12 @@ def expected() -> dict[str, str]:
             ORDER BY ingest_seq LIMIT 10""",
         ),
         "p8_exploration_summary": _with(
-            REVIEW_KEY_SETS,
+            [*REVIEW_KEY_SETS, COLUMN_NAMES],
             f"""SELECT total_rows, (SELECT count(*) FROM key_sets) AS distinct_key_sets,
-                'rating' AS rating_column, 'text' AS text_column, null_or_blank_text,
+                (SELECT max(name) FILTER (name = 'rating') FROM names) AS rating_column,
+                (SELECT max(name) FILTER (name = 'text') FROM names) AS text_column, null_or_blank_text,
                 null_or_blank_text / total_rows AS null_or_blank_share,
-                true AS is_review_data
+                (SELECT bool_or(name = 'text') AND bool_or(name = 'rating') FROM names) AS is_review_data
             FROM (SELECT count(*) AS total_rows,
                 count(*) FILTER (text IS NULL OR {tidy('text')} = '') AS null_or_blank_text
                 FROM reviews)""",
@@ -416,12 +437,12 @@ def expected() -> dict[str, str]:
         ),
         "l1_detect_turns": _with(
             [
-                """texts AS (SELECT conv_id * 1000000 + turn AS ingest_seq, text
+                """texts AS (SELECT {'conv_id': conv_id, 'turn': turn} AS ingest_seq, conv_id, turn, text
                 FROM conversations)""",
                 PROFILES,
                 detected("texts", "text"),
             ],
-            """SELECT ingest_seq, CASE WHEN text = '' THEN 'en' ELSE language END AS language
+            """SELECT conv_id, turn, CASE WHEN coalesce(text, '') = '' THEN 'en' ELSE language END AS language
             FROM texts LEFT JOIN languages USING (ingest_seq)""",
         ),
         "l2_language_filter": _with(
@@ -462,7 +483,7 @@ def expected() -> dict[str, str]:
         "u2_duplicate_mask": _with(
             [REVIEWS, KEYED], "SELECT ingest_seq, copy > 1 AS is_duplicate FROM numbered"
         ),
-        "u2_duplicate_turns": """SELECT conv_id * 1000000 + turn AS ingest_seq,
+        "u2_duplicate_turns": """SELECT conv_id, turn,
             row_number() OVER (PARTITION BY text ORDER BY conv_id, turn) > 1 AS is_duplicate
             FROM conversations""",
         "u3_duplicate_groups": _with(
@@ -525,17 +546,24 @@ def expected() -> dict[str, str]:
                 count(*) >= {MIN_REVIEW_COUNT} AS is_sufficient,
                 greatest(0, {MIN_REVIEW_COUNT} - count(*)) AS deficit FROM clean""",
         ),
+        "q3_sufficient": _with(
+            VALIDATED,
+            """SELECT count(*) AS valid_review_count, CAST(20 AS BIGINT) AS minimum_required,
+                count(*) >= 20 AS is_sufficient, greatest(0, 20 - count(*)) AS deficit FROM clean""",
+        ),
         "q4_reconcile": _with(
-            [*VALIDATED, WHOLE_STATS],
-            f"""SELECT true AS clean_equals_output, true AS stored_equals_clean,
+            [*VALIDATED, WHOLE_STATS, "firsts AS (SELECT min(ingest_seq) AS ingest_seq FROM clean GROUP BY review_hash)"],
+            f"""SELECT clean_records = (SELECT count(*) FROM firsts) AS clean_equals_output,
+                (SELECT count(DISTINCT review_hash) FROM clean) = clean_records AS stored_equals_clean,
                 clean_records <= valid_before_deduplication
                     AND valid_before_deduplication <= input_records AS counts_ordered,
                 clean_records > {MIN_REVIEW_COUNT} AS enough_clean,
                 input_records = (SELECT count(*) FROM documents) AS input_as_expected,
                 input_records = {' + '.join(REASONS)} + valid_before_deduplication
                     AS input_accounted_for,
-                valid_before_deduplication >= clean_records AS valid_accounted_for,
-                clean_records AS stored_hashes, clean_records FROM stats""",
+                valid_before_deduplication = clean_records
+                    + (SELECT count(*) FROM clean ANTI JOIN firsts USING (ingest_seq)) AS valid_accounted_for,
+                (SELECT count(DISTINCT review_hash) FROM clean) AS stored_hashes, clean_records FROM stats""",
         ),
         # Streams.
         "x1_stream_clean": _with(
@@ -543,6 +571,18 @@ def expected() -> dict[str, str]:
             """SELECT DISTINCT review_hash, asin, user_id, rating, title_normalized,
                 text_normalized FROM clean""",
         ),
+        "x2_stream_progress": _with(
+            [
+                *VALIDATED,
+                """first_seen AS (SELECT review_hash, min(ingest_seq % 3) AS batch_id FROM clean GROUP BY review_hash)""",
+                """batches AS (SELECT ingest_seq % 3 AS batch_id, count(*) AS input_records FROM reviews GROUP BY 1)""",
+                """kept AS (SELECT batch_id, count(*) AS clean_records FROM first_seen GROUP BY 1)""",
+            ],
+            """SELECT 'stream' AS run_id, batch_id, input_records,
+                CAST(sum(input_records) OVER (ORDER BY batch_id) AS BIGINT) AS input_so_far,
+                CAST(sum(coalesce(clean_records, 0)) OVER (ORDER BY batch_id) AS BIGINT) AS clean_so_far
+            FROM batches LEFT JOIN kept USING (batch_id)""",
+        ),
         "x2_stream_totals": _with(
             [*VALIDATED, WHOLE_STATS], f"SELECT {STAT_COLUMNS} FROM stats"
         ),
