@@ -34,11 +34,13 @@ def check_text_and_rating(
     df: DataFrame, text_col: str = "text", rating_col: str = "rating", split_missing: bool = False
 ) -> DataFrame:
     """Add `_text`, `_rating` and `_reason` from the checks that need no other row."""
-    normalized = df.withColumns(
-        {
-            "_text": normalize_review_text(F.col(text_col).cast("string")),
-            "_rating": validate_rating(F.col(rating_col)),
-        }
+    # Generated rather than projected, so that no filter or column above repeats the cleaning.
+    cleaned = F.struct(
+        normalize_review_text(F.col(text_col).cast("string")).alias("_text"),
+        validate_rating(F.col(rating_col)).alias("_rating"),
+    )
+    normalized = df.select("*", F.explode(F.array(cleaned)).alias("_checked")).select(
+        *df.columns, "_checked.*"
     )
     reason = F.coalesce(
         _text_reason(F.col(text_col), F.col("_text"), split_missing),
