@@ -12,12 +12,13 @@ SF = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "local[4]",
         **{
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "6g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("scratch")),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
