@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reviewsieve.session import WrittenTable, write_once
+from reviewsieve.session import BROADCAST_BYTES, BROADCAST_ROWS, WrittenTable, stored_bytes, write_once
 
 _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWER = _UPPER.lower()
@@ -135,15 +135,23 @@ def running_totals(df: DataFrame, order: Sequence[str], values: Sequence[str], l
     return total.select(*df.columns, *[(F.col(f"{v}_end") + F.col(f"_{v}_before")).alias(f"{v}_end") for v in values]), table
 
 
-def join_unique(rows: DataFrame, table: DataFrame, key: str, weight: str, total: int) -> DataFrame:
-    """Inner join of `rows` with `table`, which is unique in `key` and counts in `weight` the rows of each key.
+def join_unique(rows: DataFrame, table: DataFrame, key: str, weight: str, total: int, how: str = "inner") -> DataFrame:
+    """Inner or left join of `rows` with `table`, which is unique in `key` and counts in `weight` the rows of each key.
 
     Keys that hold at least 1 / HOT_KEYS of all rows are broadcast; the rest is shuffled.
     """
     hot = table.where(F.col(weight) * HOT_KEYS >= total)
     cold = table.where(F.col(weight) * HOT_KEYS < total)
     rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
-    return rows.join(F.broadcast(hot), key).unionByName(rest.join(cold, key))
+    return rows.join(F.broadcast(hot), key).unionByName(rest.join(cold, key, how))
+
+
+
+def join_written(rows: DataFrame, table: WrittenTable, key: str, weight: str, total: int, how: str = "inner") -> DataFrame:
+    """As `join_unique`, but a small table is broadcast as a whole."""
+    if table.rows <= BROADCAST_ROWS and stored_bytes(rows.sparkSession, table.path) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(table.data), key, how)
+    return join_unique(rows, table.data, key, weight, total, how)
 
 
 def map_rows(df: DataFrame, schema: T.StructType | str, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
