@@ -9,6 +9,7 @@ broadcast by its words and built once in a worker, and the documents pass it wit
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewsieve.llm.common import _ALNUM, alnum_words, utf8
+from reviewsieve.session import write_once
 
 WINDOW = 10
 # Words of benchmark items in one automaton; more items make more automata.
@@ -273,12 +275,29 @@ def decontaminate(
     none is left; a document with more than `most_coverage` of its words in spans is dropped. Columns stay as they
     are, but for the text and, where there is one, the number of its characters. Documents without spans are
     unchanged. Null and empty texts stay; empty tables and repeated rows are taken as they are.
+
+    The result does not depend on the blocks. One block needs one pass; with several, the documents are
+    written, and those that were cut pass all blocks again.
     """
     spark = docs.sparkSession
     blocks = [spark.sparkContext.broadcast((b, window)) for b in item_blocks(benchmark, item_id_col, item_text_col, block_words)]
     position, schema = docs.columns.index(text_col), docs.schema
     chars = docs.columns.index(chars_col) if chars_col in docs.columns else None
 
+    def with_texts(batch: pa.RecordBatch, texts: list[bytes | None], changed: dict[int, bytes]) -> list[pa.Array]:
+        """Columns of a batch with the texts that changed, and their numbers of characters."""
+        columns = list(batch.columns)[: len(schema)]
+        if changed:
+            for i, text in changed.items():
+                texts[i] = text
+            columns[position] = pa.array(texts, pa.binary()).cast(pa.string())
+            if chars is not None:
+                counts = columns[chars].to_pylist()
+                for i, text in changed.items():
+                    counts[i] = len(text.decode())
+                columns[chars] = pa.array(counts, columns[chars].type)
+        return columns
+
     def rewrite(shared):
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             automaton = _automaton(shared)
@@ -291,21 +310,46 @@ def decontaminate(
                     while spans and keep[-1]:
                         text = changed[i] = _without(text, spans)
                         spans, _ = automaton.scan(alnum_words(text))
-                if changed:
-                    columns = list(batch.columns)
-                    for i, text in changed.items():
-                        texts[i] = text
-                    columns[position] = pa.array(texts, pa.binary()).cast(pa.string())
-                    if chars is not None:
-                        counts = columns[chars].to_pylist()
-                        for i, text in changed.items():
-                            counts[i] = len(text.decode())
-                        columns[chars] = pa.array(counts, columns[chars].type)
-                    batch = pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+                batch = pa.RecordBatch.from_arrays(with_texts(batch, texts, changed), names=batch.schema.names)
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
         return work
 
-    for block in blocks:
-        docs = docs.mapInArrow(rewrite(block), schema)
-    return docs
+    if len(blocks) <= 1:
+        return docs.mapInArrow(rewrite(blocks[0]), schema) if blocks else docs
+
+    def find(shared):
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            automaton = _automaton(shared)
+            for batch in batches:
+                spans = [_merged(old, automaton.scan(alnum_words(text))[0]) for text, old in zip(utf8(batch.column(position)), _spans(batch.columns[-1]))]
+                found = pa.array([[{"first": a, "end": b} for a, b in row] for row in spans], _ARROW_SPANS)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], names=batch.schema.names)
+
+        return work
+
+    def cut(whole: bool):
+        """Cut the spans; of `whole` documents, drop those with too many words in them."""
+
+        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts, keep, changed = utf8(batch.column(position)), [], {}
+                for i, spans in enumerate(_spans(batch.columns[-1])):
+                    keep.append(not whole or sum(b - a for a, b in spans) <= most_coverage * len(alnum_words(texts[i])))
+                    if spans and keep[-1]:
+                        changed[i] = _without(texts[i], spans)
+                was_cut = pa.array([i in changed for i in range(len(texts))], pa.bool_())
+                yield pa.RecordBatch.from_arrays([*with_texts(batch, texts, changed), was_cut], names=[*batch.schema.names[:-1], "_cut"]).filter(pa.array(keep, pa.bool_()))
+
+        return work
+
+    parts, todo, whole = [], docs, True
+    while True:
+        found = todo.withColumn("_spans", F.array().cast(_SPANS))
+        for block in blocks:
+            found = found.mapInArrow(find(block), T.StructType([*schema.fields, T.StructField("_spans", _SPANS)]))
+        table = write_once(found.mapInArrow(cut(whole), T.StructType([*schema.fields, T.StructField("_cut", T.BooleanType())])), "decontaminated")
+        parts.append(table.data.where("NOT _cut").drop("_cut"))
+        todo, whole = table.data.where("_cut").drop("_cut"), False
+        if todo.isEmpty():
+            return reduce(DataFrame.union, parts)

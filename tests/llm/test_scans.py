@@ -116,6 +116,26 @@ def test_decontamination_beside_brute_force(spark, block_words):
             assert kept[i]["n_chars"] == len(kept[i]["text"])
 
 
+def test_decontamination_does_not_depend_on_blocks(spark):
+    """Coverage counts the items of all blocks, and what a cut brings together is cut for every block."""
+    a, b = [f"a{i}" for i in range(20)], [f"b{i}" for i in range(20)]
+    filler = [f"f{i}" for i in range(60)]
+    texts = [
+        [*a, *b, *filler[:10]],  # 40 % of the words from each of two blocks
+        [*filler, *a[:5], *b[:12], *a[5:13], "end"],  # a window of the first block around a span of the second
+        [*filler, *a[:4], *b[:5], *a[4:14], *b[5:12], *a[14:17], "end"],
+        filler,
+        [],
+    ]
+    docs = spark.createDataFrame([(i, " ".join(t), "en", "s", len(" ".join(t))) for i, t in enumerate(texts)] + [(9, None, "en", "s", 0)], DOCS).repartition(2)
+    bench = spark.createDataFrame([(1, " ".join(a)), (2, " ".join(b))], "item_id long, text string").coalesce(1)
+    results = [sorted(map(tuple, decontaminate.decontaminate(docs, bench, block_words=n).collect())) for n in (1, 10**6)]
+    assert results[0] == results[1]
+    left = {r[0]: r for r in results[0]}
+    assert set(left) == {1, 2, 3, 4, 9} and left[1][1].split() == [*filler, "end"]
+    assert all(r[4] == len(r[1] or "") for r in results[0])
+
+
 def test_decontamination_of_edge_cases(spark):
     docs = edge_docs(spark)
     bench = spark.createDataFrame([(1, None), (2, ""), (3, "same text"), (3, "same text")], "item_id long, text string")
