@@ -195,11 +195,28 @@ def read_csv(
     return df
 
 
-def _line_files(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
+def _wrapper_files(spark: SparkSession, files: list[str], fields: list[str]) -> set[str]:
+    """Of files with one line, those whose object is a wrapper and not a record.
+
+    The only list of a wrapper holds nothing but objects, of which one has as many of the fields as the wrapper.
+    """
+    entries = "map<string,variant>"
+    known = lambda keys: F.size(F.array_intersect(keys, F.array(*[F.lit(f) for f in fields]).cast("array<string>")))
+    root = F.try_parse_json(F.regexp_replace("value", r"^[\s﻿]+", "")).cast(entries)
+    read = spark.read.text(files).select(F.col("_metadata.file_path").alias("file"), root.alias("root"))
+    lists = F.filter(F.map_values("root"), lambda v: F.schema_of_variant(v).startswith("ARRAY"))
+    read = read.select("file", "root", lists.alias("lists")).where("size(lists) = 1").select("file", "root", F.col("lists")[0].cast("array<variant>").alias("items"))
+    # Nothing but objects is cast to a map.
+    most = F.when(F.forall("items", _is_object), F.coalesce(F.array_max(F.transform("items", lambda v: known(F.map_keys(v.cast(entries))))), F.lit(0)))
+    return {r.file for r in read.where(most >= known(F.map_keys("root"))).select("file").collect()}
+
+
+def _line_files(spark: SparkSession, path: str, schema: T.StructType | None) -> tuple[list[str], list[str]]:
     """Files of JSON lines, and files that are documents.
 
     A file whose first line is a whole object holds lines if more lines follow. With no more than
-    that line it may be either, and is taken as lines if any other file holds lines.
+    that line it is a document if the object is a wrapper, by the fields of the schema or, without one, of the lines of
+    other files. A record alone in its file is the same row in both layouts.
     """
     text = F.regexp_replace("value", r"^[\s﻿]+", "")
     lines = spark.read.text(path).select(
@@ -216,9 +233,14 @@ def _line_files(spark: SparkSession, path: str) -> tuple[list[str], list[str]]:
         .agg(F.min_by("whole", "place").alias("whole"), F.count(F.lit(1)).alias("lines"))
         .collect()
     )
-    some = any(r.whole and r.lines > 1 for r in found)
-    as_lines = {r.file: bool(r.whole and (r.lines > 1 or some)) for r in found}
-    return [f for f, is_lines in as_lines.items() if is_lines], [f for f, is_lines in as_lines.items() if not is_lines]
+    several = [r.file for r in found if r.whole and r.lines > 1]
+    documents = [r.file for r in found if not r.whole]
+    single = [r.file for r in found if r.whole and r.lines == 1]
+    if single and (schema or several):
+        wrappers = _wrapper_files(spark, single, (schema or _inferred_lines(spark, several)).fieldNames())
+        several += [f for f in single if f not in wrappers]
+        single = [f for f in single if f in wrappers]
+    return several, documents + single
 
 
 def _read_json(
@@ -229,7 +251,7 @@ def _read_json(
         return read_jsonl(spark, path, schema, strict)
     if layout == "document":
         return read_json_document(spark, path, schema)
-    lines, documents = _line_files(spark, path)
+    lines, documents = _line_files(spark, path, schema)
     if not documents:
         # All files, so that their names need not travel with the plan.
         return read_jsonl(spark, path, schema, strict) if lines else read_json_document(spark, path, schema)

@@ -185,6 +185,22 @@ def test_layout_is_taken_file_by_file(spark, tmp_path):
         assert sorted(r.a for r in df.collect()) == list(range(1, 10))
 
 
+def test_one_line_files_are_judged_by_their_own_object(spark, tmp_path):
+    """A wrapper on one line keeps its rows beside files of lines, and a lone review with images stays a review."""
+    folder = tmp_path / "mixed.json"
+    folder.mkdir()
+    put(folder, "wrapped.json", '{"reviews": [{"a": 1, "t": "x"}, {"a": 2}], "n": 2}')
+    put(folder, "none.json", '{"reviews": []}')
+    put(folder, "images.json", '{"a": 3, "images": [{"u": "x"}]}\n')
+    put(folder, "tags.json", '{"a": 4, "tags": ["x"]}')
+    for lines in (False, True):
+        want = [1, 2, 3, 4, 5, 6] if lines else [1, 2, 3, 4]
+        if lines:
+            put(folder, "lines.json", '{"a": 5, "images": []}\n{"a": 6, "t": "y"}\n')
+            assert sorted(r.a for r in read_uploaded_data(spark, str(folder)).collect()) == want
+        assert sorted(r.a for r in read_reviews(spark, str(folder), SCHEMA).collect()) == want
+
+
 def test_document_wrappers_are_judged_file_by_file(spark, tmp_path):
     put(tmp_path, "a.json", '{"reviews": [{"a": 1}, {"a": 2}]}')
     put(tmp_path, "b.json", '{"a": 3}')
