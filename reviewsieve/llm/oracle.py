@@ -121,5 +121,70 @@ FROM placed
 """
 
 
+def _clusters(rounds: int = 5) -> str:
+    """Lloyd's rounds, each a table of assignments and one of centroids, over (vector, component) rows."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+d{r} AS MATERIALIZED (SELECT row, j, sum((x - c) * (x - c)) AS d FROM cells JOIN c{r} USING (i) GROUP BY row, j),
+a{r} AS MATERIALIZED (SELECT row, arg_min(j, (d, j)) AS j, min(d) AS d FROM d{r} GROUP BY row)""")
+        if r < rounds:
+            steps.append(f"""
+m{r} AS (SELECT j, i, sum(x) AS s, count(*) AS n FROM cells JOIN a{r} USING (row) GROUP BY j, i),
+c{r + 1} AS MATERIALIZED (SELECT j, i, coalesce((s - ((s % n) + n) % n) // n, c) AS c FROM c{r} LEFT JOIN m{r} USING (j, i))""")
+    return ",".join(steps)
+
+
+OP11 = f"""
+WITH kept AS (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), vec_id) AS row, vec_id, embedding AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), cells AS MATERIALIZED (
+  SELECT row, i, CAST(floor(256 * CAST(v[i] AS DOUBLE)) AS HUGEINT) AS x FROM (SELECT row, v, unnest(range(1, 65)) AS i FROM kept)
+), c0 AS MATERIALIZED (SELECT row - 1 AS j, i, x AS c FROM cells WHERE row <= 40),{_clusters()},
+digests AS (SELECT j, sha256(string_agg(c::VARCHAR, ',' ORDER BY i)) AS h FROM c5 GROUP BY j)
+SELECT vec_id, CAST(j AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY j) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, h AS centroid_sha256
+FROM kept JOIN a5 USING (row) JOIN digests USING (j)
+"""
+
+# crc32 byte by byte from a table of 256 values; the letters beyond ASCII have two bytes. As levenshtein compares
+# bytes, these letters are replaced by signs of ASCII before words are compared.
+OP13 = """
+WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(range(0, 8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t FROM range(0, 256) r(i)
+), runs AS (
+  SELECT key, run, count(*) AS k FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS key,
+      translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM documents)
+  GROUP BY ALL
+), bytes AS (
+  SELECT run, k, flatten(list_transform(string_split(key || run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END)) AS b
+  FROM runs
+), hashed AS (
+  SELECT run, k, xor(list_reduce(b, lambda c, x: xor(c >> 8, t[CAST(xor(c & 255, x) + 1 AS BIGINT)]), 4294967295), 4294967295) AS h FROM bytes, crc_table
+), words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, k FROM hashed
+), vocabulary AS (
+  SELECT word, CAST(sum(k) AS BIGINT) AS n, length(word) AS len,
+    translate(word, list_aggregate(list_transform(range(192, 256), lambda i: chr(CAST(i AS INTEGER))), 'string_agg', ''), '!"#$%&()*+,-./0123456789:;<=>?@ABCDEFGHIJKLMNOPQRSTUVWXYZ[]^_{|}') AS ascii
+  FROM words WHERE length(word) >= 6 GROUP BY word HAVING sum(k) >= 5
+), near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n
+  FROM vocabulary a JOIN vocabulary b ON b.len BETWEEN a.len - 1 AND a.len + 1 AND a.word <> b.word WHERE levenshtein(a.ascii, b.ascii) = 1
+), best AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS form_n, arg_min(other, (-other_n, other)) AS form FROM near GROUP BY word
+), forms AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * n THEN form END AS form, CASE WHEN form_n >= 5 * n THEN form_n END AS form_n
+  FROM vocabulary LEFT JOIN best USING (word)),
+path AS (
+  SELECT word, word AS here, 0 AS step FROM forms
+  UNION ALL
+  SELECT path.word, forms.form, step + 1 FROM path JOIN forms ON forms.word = path.here WHERE forms.form IS NOT NULL
+), ends AS (SELECT word, arg_max(here, step) AS root FROM path GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+"""
+
+
 def expected() -> dict[str, str]:
-    return {"op4_superminhash": OP4, "op6_decontamination": OP6, "op7_warc_zstd": OP7, "op9_url_aliases": OP9, "op10_mixing": OP10}
+    return {"op4_superminhash": OP4, "op6_decontamination": OP6, "op7_warc_zstd": OP7, "op9_url_aliases": OP9, "op10_mixing": OP10, "op11_heap_kmeans": OP11, "op13_spelling": OP13}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reviewsieve.llm import chaining, decontaminate, fuzzy_lines, license_scan, mixing, quality_mcd, sharding, superminhash, url_aliases, warc_zstd
+from reviewsieve.llm import chaining, decontaminate, fuzzy_lines, heap_kmeans, license_scan, mixing, quality_mcd, quality_rff, sharding, spelling, superminhash, url_aliases, warc_zstd
 from reviewsieve.session import scratch_path
 
 
@@ -67,5 +67,17 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixture(_table(spark, sf_dir, "documents"))
 
 
+def op11_heap_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return heap_kmeans.centroid_clusters(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_quality_rff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rff.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}

@@ -16,7 +16,7 @@ def test_query_beside_its_sql(spark, name):
     assert rows
     if name in oracle.expected():
         db = duckdb.connect()
-        for table in ("documents", "pages", "benchmark"):
+        for table in ("documents", "pages", "benchmark", "embeddings", "labels"):
             db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_SMALL}/{table}.parquet'")
         cursor = db.execute(oracle.expected()[name])
         columns = [c[0] for c in cursor.description]
