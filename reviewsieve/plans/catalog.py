@@ -240,12 +240,13 @@ def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe.add_duplicate_keys(reviews(spark, sf_dir)).select(*columns)
 
 
-def _hashed_and_stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """All clean reviews, and the hashes of those that are verified purchases."""
+def _hashed_and_stored(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DedupeStore]:
+    """All clean reviews, and a store with the hashes of those that are verified purchases."""
     columns = ("ingest_seq", "review_hash", "verified_purchase")
     clean = write_once(clean_reviews(spark, sf_dir).select(*columns), "clean-keys").data
-    stored = clean.where("verified_purchase").select("review_hash").distinct()
-    return clean.select("ingest_seq", "review_hash"), stored
+    store = DedupeStore(spark, scratch_path(spark, "store")).create()
+    store.insert(clean.where("verified_purchase").select("review_hash").distinct(), "load", 0)
+    return clean.select("ingest_seq", "review_hash"), store
 
 
 def _loaded(spark: SparkSession, sf_dir: str):
@@ -256,7 +257,7 @@ def _loaded(spark: SparkSession, sf_dir: str):
     increments = []
     for batch_id, rows in enumerate((raw.where("verified_purchase"), raw)):
         increment = preprocess_increment(rows, store, model, "load", batch_id)
-        store.insert(increment.hashes, "load", batch_id)
+        store.insert_absent(increment.hashes, "load", batch_id, increment.seen)
         increments.append(increment)
     return store, increments
 

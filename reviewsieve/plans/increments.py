@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from reviewsieve.operators.language import LanguageModel
 from reviewsieve.operators.quality import pipeline_stats
-from reviewsieve.operators.store import DedupeStore, unknown_keys
+from reviewsieve.operators.store import DedupeStore, Version, unknown_keys
 from reviewsieve.operators.validation import (
     attach_language,
     check_text_and_rating,
@@ -25,12 +25,17 @@ from reviewsieve.session import WrittenTable, write_once
 
 @dataclass(frozen=True)
 class Increment:
-    """Clean rows, the hashes to store, one row of statistics, scratch tables."""
+    """Clean rows, the hashes to store, one row of statistics, scratch tables.
+
+    The hashes are new in `seen`, the version of the store that they were compared with.
+    """
 
     clean: DataFrame
     hashes: DataFrame
     stats: DataFrame
     tables: tuple[WrittenTable, ...]
+    clean_rows: int = 0
+    seen: Version | None = None
 
     def release(self) -> None:
         """Remove the scratch tables once all results have been written."""
@@ -93,11 +98,12 @@ def preprocess_increment(
         .agg(F.min(order).alias(order)),
         "first-of-hash",
     )
-    tables, fresh = (decided, firsts), firsts
+    tables, fresh, seen = (decided, firsts), firsts, None
     if store is not None:
-        fresh = write_once(unknown_keys(firsts, store.hashes(run_id, batch_id)), "fresh")
+        seen = store.version()
+        fresh = write_once(unknown_keys(firsts, store.candidates(firsts.data, run_id, batch_id)), "fresh")
         tables = (decided, firsts, fresh)
     kept = df.join(fresh.sized_for_join().select(order), order)
     clean = _cleaned(kept, names).select(*df.columns, "text_normalized", "title_normalized", "review_hash")
     stats = pipeline_stats(decided.data, F.lit(fresh.rows))
-    return Increment(clean, fresh.data.select("review_hash"), stats, tables)
+    return Increment(clean, fresh.data.select("review_hash"), stats, tables, fresh.rows, seen)

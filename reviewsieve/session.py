@@ -7,6 +7,7 @@ import uuid
 from dataclasses import dataclass
 from functools import cache
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,6 +74,50 @@ def remove_path(spark: SparkSession, path: str) -> None:
     file_system.delete(hadoop_path, True)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; an absent folder is empty."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in file_system.listStatus(hadoop_path)] if file_system.exists(hadoop_path) else []
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """Content of a small file."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = file_system.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_file(spark: SparkSession, path: str, content: str) -> bool:
+    """Create a small file as a whole, unless its name is taken; whether it was created.
+
+    The content is written under another name first, which is then changed without replacing anything.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    target, draft = hadoop.Path(path), hadoop.Path(f"{path}.{uuid.uuid4().hex}.draft")
+    file_system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    stream = file_system.create(draft, False)
+    try:
+        stream.write(bytearray(content, "utf-8"))
+    finally:
+        stream.close()
+    context = hadoop.FileContext.getFileContext(target.toUri() if target.toUri().getScheme() else file_system.getUri(), spark._jsc.hadoopConfiguration())
+    never = spark.sparkContext._gateway.new_array(getattr(hadoop, "Options$Rename"), 1)
+    never[0] = getattr(hadoop, "Options$Rename").NONE
+    try:
+        context.rename(draft, target, never)
+        return True
+    except Py4JJavaError as error:
+        file_system.delete(draft, False)
+        if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+            return False
+        raise
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
     """Size of all files below a path; 0 for a table that was never written."""
     if not path:

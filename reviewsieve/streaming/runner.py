@@ -71,7 +71,8 @@ def run_preprocess_stream(
     Each batch writes its clean rows first, its hashes second and its counters
     last, each into a folder of the (run, batch) pair. A crash in between makes
     Spark repeat the batch, which then replaces what the first try wrote. Batch
-    numbers start at 0 with a new checkpoint, so that needs a new `run_id`.
+    numbers start at 0 with a new checkpoint, so that needs a new `run_id`. Several runs may share a
+    store: a review stays with the run that stores its hash first.
 
     Rows without an `order` column are numbered by their place in the files.
     """
@@ -89,13 +90,16 @@ def run_preprocess_stream(
             rows = numbered(batch, order)
         tables = [rows]
         try:
-            increment = preprocess_increment(rows.data, store, model, run_id, batch_id, names, order)
-            tables += increment.tables
-            clean = increment.clean.drop(FILE_PLACE)
-            if order not in batch.columns:
-                clean = clean.drop(order)
-            append_clean(clean, out_path, run_id, batch_id)
-            store.insert(increment.hashes, run_id, batch_id)
+            while True:
+                increment = preprocess_increment(rows.data, store, model, run_id, batch_id, names, order)
+                tables += increment.tables
+                clean = increment.clean.drop(FILE_PLACE)
+                if order not in batch.columns:
+                    clean = clean.drop(order)
+                append_clean(clean, out_path, run_id, batch_id)
+                # Fewer are stored if another run was faster with some; their rows then have to go again.
+                if store.insert_absent(increment.hashes, run_id, batch_id, increment.seen) == increment.clean_rows:
+                    break
             _append_stats(increment.stats, stats_path, run_id, batch_id)
         finally:
             for table in tables:

@@ -71,18 +71,19 @@ def test_stream_equals_batch_and_reruns_add_nothing(spark, tmp_path, landed):
         start(spark, tmp_path, raw.schema, run="one", offsets="offsets3")
 
 
-@pytest.mark.parametrize("step", ["append_clean", "insert", "_append_stats"])
+@pytest.mark.parametrize("step", ["append_clean", "insert_absent", "_append_stats"])
 def test_crash_within_a_batch_loses_and_repeats_nothing(spark, tmp_path, landed, monkeypatch, step):
     raw, hashes = landed
-    owner = DedupeStore if step == "insert" else runner
+    owner = DedupeStore if step == "insert_absent" else runner
     real = getattr(owner, step)
     calls = []
 
     def failing(*args, **kwargs):
         calls.append(1)
-        real(*args, **kwargs)
+        result = real(*args, **kwargs)
         if len(calls) == 2:
             raise RuntimeError("lost")
+        return result
 
     monkeypatch.setattr(owner, step, failing)
     with pytest.raises(Exception, match="lost"):
@@ -95,6 +96,24 @@ def test_crash_within_a_batch_loses_and_repeats_nothing(spark, tmp_path, landed,
     assert totals.input_records == raw.count() and totals.clean_records == len(hashes)
 
 
+def test_another_run_stores_some_hashes_first(spark, tmp_path, landed, monkeypatch):
+    """While a batch writes its rows, another run stores a third of the hashes: their rows go again."""
+    raw, hashes = landed
+    taken, real = sorted(hashes)[::3], runner.append_clean
+
+    def raced(*args):
+        real(*args)
+        monkeypatch.setattr(runner, "append_clean", real)
+        DedupeStore(spark, f"{tmp_path}/store").insert_absent(spark.createDataFrame([(h,) for h in taken], "review_hash string"), "other", 0)
+
+    monkeypatch.setattr(runner, "append_clean", raced)
+    _, store = start(spark, tmp_path, raw.schema)
+    assert sorted(written(spark, tmp_path)) == sorted(hashes - set(taken))
+    assert sorted(r.review_hash for r in store.read().collect()) == sorted(hashes)
+    totals = accumulate_stats(read_stats(spark, f"{tmp_path}/stats", "one")).first()
+    assert totals.clean_records == len(hashes) - len(taken) and totals.input_records == raw.count()
+
+
 def test_rows_without_an_order_column(spark, tmp_path, landed):
     raw, hashes = landed
     fields = [f for f in RAW_REVIEW_SCHEMA.fields if f.name in raw.columns]
