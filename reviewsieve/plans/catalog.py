@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 
 from reviewsieve.fixed_values import RATING_ALIASES, TEXT_ALIASES
 from reviewsieve.functions import (
@@ -38,12 +39,12 @@ from reviewsieve.sources import (
     read_uploaded_data,
     save_dataframe,
 )
-from reviewsieve.streaming import read_stats, run_preprocess_stream, stream_progress
+from reviewsieve.streaming import StreamProgress, read_stats, run_keyed_stream, run_preprocess_stream, stream_progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Increments in which the streaming query reads its input.
-STREAM_FILES = 3
+# Increments in which the streaming queries get their input.
+INCREMENTS = 3
 
 _models: dict[tuple[str, str], LanguageModel] = {}
 
@@ -310,28 +311,47 @@ def reconcile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Streams ---------------------------------------------------------------------------
 
 
-def _streamed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Stream all reviews from JSON-lines files; the folders of rows and counters."""
+def _in_increments(spark: SparkSession, sf_dir: str, start: Callable[[DataFrame], StreamingQuery]) -> None:
+    """Land all reviews in three parts of any number of files, and let the stream take each as one increment."""
     raw = reviews(spark, sf_dir)
     source = scratch_path(spark, "landing")
-    # A file for each increment, one after the other, so that the stream takes them in this order.
-    for increment in range(STREAM_FILES):
-        part = raw.where(F.col("ingest_seq") % STREAM_FILES == increment)
-        part.repartition(1).write.mode("append").json(source)
-    out, stats = scratch_path(spark, "clean"), scratch_path(spark, "stats")
-    query = run_preprocess_stream(
-        read_reviews_stream(spark, source, raw.schema, files_per_trigger=1),
-        out,
-        DedupeStore(spark, scratch_path(spark, "store")),
-        "stream",
-        scratch_path(spark, "offsets"),
-        stats,
-        trained_model(spark, sf_dir),
-    )
-    query.awaitTermination()
+    for increment in range(INCREMENTS):
+        raw.where(F.col("ingest_seq") % INCREMENTS == increment).write.mode("append").json(source)
+        start(read_reviews_stream(spark, source, raw.schema, files_per_trigger=10**6)).awaitTermination()
+
+
+def _streamed(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """Stream all reviews against a store; the folders of rows and counters."""
+    out, stats, offsets = (scratch_path(spark, name) for name in ("clean", "stats", "offsets"))
+    store, model = DedupeStore(spark, scratch_path(spark, "store")), trained_model(spark, sf_dir)
+    _in_increments(spark, sf_dir, lambda source: run_preprocess_stream(source, out, store, "stream", offsets, stats, model))
     return out, stats
 
 
+def _keyed_stream(spark: SparkSession, sf_dir: str) -> tuple[str, StreamProgress]:
+    """Stream all reviews with the known hashes in state; the folder of rows, and what a listener saw."""
+    out, offsets = scratch_path(spark, "clean"), scratch_path(spark, "offsets")
+    model, progress = trained_model(spark, sf_dir), StreamProgress()
+    spark.streams.addListener(progress)
+    try:
+        _in_increments(spark, sf_dir, lambda source: run_keyed_stream(source, out, "keyed", offsets, model))
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    finally:
+        spark.streams.removeListener(progress)
+    return out, progress
+
+
+def keyed_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, _ = _keyed_stream(spark, sf_dir)
+    columns = ("ingest_seq", "review_hash", "rating", "title_normalized", "text_normalized")
+    return read_clean(spark, out, clean_reviews(spark, sf_dir).select(*columns).schema, "keyed").select(*columns, "batch_id")
+
+
+def listener_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a listener saw of each increment; the state then holds all hashes so far."""
+    return _keyed_stream(spark, sf_dir)[1].frame(spark)
+
+
 def stream_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, _ = _streamed(spark, sf_dir)
     columns = ("review_hash", "asin", "user_id", "rating", "title_normalized", "text_normalized")
@@ -486,6 +506,8 @@ def queries() -> dict[str, Query]:
         ),
         "q4_reconcile": reconcile_query,
         "x1_stream_clean": stream_clean,
+        "x1_keyed_clean": keyed_clean,
         "x2_stream_totals": stream_totals,
+        "x2_listener_progress": listener_progress,
         "x2_stream_progress": progress_query,
     }

@@ -571,6 +571,22 @@ def expected() -> dict[str, str]:
             """SELECT DISTINCT review_hash, asin, user_id, rating, title_normalized,
                 text_normalized FROM clean""",
         ),
+        "x1_keyed_clean": _with(
+            VALIDATED,
+            """SELECT ingest_seq, review_hash, rating, title_normalized, text_normalized, CAST(ingest_seq % 3 AS BIGINT) AS batch_id
+            FROM (SELECT *, row_number() OVER (PARTITION BY review_hash ORDER BY ingest_seq % 3, ingest_seq) AS copy FROM clean) WHERE copy = 1""",
+        ),
+        "x2_listener_progress": _with(
+            [
+                *VALIDATED,
+                """first_seen AS (SELECT review_hash, min(ingest_seq % 3) AS batch_id FROM clean GROUP BY review_hash)""",
+                """kept AS (SELECT batch_id, count(*) AS clean_records FROM first_seen GROUP BY 1)""",
+                f"""batches AS (SELECT CAST(ingest_seq % 3 AS BIGINT) AS batch_id, count(*) AS input_records, {REASON_COUNTS},
+                    count(*) FILTER (reason IS NULL) AS valid_before_deduplication FROM judged GROUP BY 1)""",
+            ],
+            """SELECT 'keyed' AS run_id, batches.*, CAST(sum(coalesce(clean_records, 0)) OVER (ORDER BY batch_id) AS BIGINT) AS state_rows
+            FROM batches LEFT JOIN kept USING (batch_id)""",
+        ),
         "x2_stream_progress": _with(
             [
                 *VALIDATED,

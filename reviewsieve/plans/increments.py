@@ -54,7 +54,7 @@ class ReviewColumns:
     user_id: str = "user_id"
 
 
-def _cleaned(df: DataFrame, names: ReviewColumns) -> DataFrame:
+def cleaned(df: DataFrame, names: ReviewColumns) -> DataFrame:
     """Reviews with `_reason` of the cheap checks, the cleaned columns and the hash."""
     checked = check_text_and_rating(df, names.text, names.rating)
     return clean_columns(checked, F.col("_text"), F.col("_rating"), names.rating, names.title, names.asin, names.user_id)
@@ -67,7 +67,7 @@ def decide_reviews(
     order: str = "ingest_seq",
 ) -> DataFrame:
     """(order, reason, review_hash) of each review; the hash is null if rejected."""
-    judged = attach_language(_cleaned(df, names).select(order, "_text", "_reason", "review_hash"), model)
+    judged = attach_language(cleaned(df, names).select(order, "_text", "_reason", "review_hash"), model)
     valid = F.col("_reason").isNull()
     return judged.select(
         order,
@@ -104,6 +104,6 @@ def preprocess_increment(
         fresh = write_once(unknown_keys(firsts, store.candidates(firsts.data, run_id, batch_id)), "fresh")
         tables = (decided, firsts, fresh)
     kept = df.join(fresh.sized_for_join().select(order), order)
-    clean = _cleaned(kept, names).select(*df.columns, "text_normalized", "title_normalized", "review_hash")
+    clean = cleaned(kept, names).select(*df.columns, "text_normalized", "title_normalized", "review_hash")
     stats = pipeline_stats(decided.data, F.lit(fresh.rows))
     return Increment(clean, fresh.data.select("review_hash"), stats, tables, fresh.rows, seen)

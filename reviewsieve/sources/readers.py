@@ -334,6 +334,11 @@ def read_reviews_stream(
     return _with_place(stream.options(**options).schema(schema).csv(directory))
 
 
+def read_stream_files(spark: SparkSession, files: list[str], schema: T.StructType) -> DataFrame:
+    """Rows of some files of a stream of JSON lines, once more."""
+    return _parsed_lines(spark.read.text(files), schema, strict=True).drop(FILE_PLACE)
+
+
 def _with_place(df: DataFrame) -> DataFrame:
     place = F.struct(
         F.col("_metadata.file_path").alias("file"),

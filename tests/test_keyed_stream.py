@@ -1,0 +1,98 @@
+import pytest
+from pyspark.sql import functions as F
+
+from reviewsieve.operators.validation import preprocess_reviews
+from reviewsieve.plans.review_view import reviews
+from reviewsieve.sources import read_clean, read_reviews_stream
+from reviewsieve.streaming import StreamProgress, keyed, run_keyed_stream
+from tests.conftest import SF_SMALL
+
+
+def land(raw, tmp_path, increment, of=3):
+    raw.where(F.col("ingest_seq") % of == increment).repartition(2).write.mode("append").json(f"{tmp_path}/in")
+
+
+def start(spark, tmp_path, schema, run="one", offsets="offsets"):
+    source = read_reviews_stream(spark, f"{tmp_path}/in", schema, files_per_trigger=100)
+    query = run_keyed_stream(source, f"{tmp_path}/clean", run, f"{tmp_path}/{offsets}", None)
+    query.awaitTermination()
+    return query
+
+
+def kept(spark, tmp_path):
+    schema = spark.createDataFrame([], "review_hash string, ingest_seq long").schema
+    return sorted((r.batch_id, r.review_hash, r.ingest_seq) for r in read_clean(spark, f"{tmp_path}/clean", schema).collect())
+
+
+def firsts(raw, of=3):
+    """The copy of each hash that comes first, by increment and order."""
+    best = {}
+    for r in preprocess_reviews(raw, None).select("review_hash", "ingest_seq").collect():
+        place = (r.ingest_seq % of, r.ingest_seq)
+        best[r.review_hash] = min(best.get(r.review_hash, place), place)
+    return sorted((batch, h, order) for h, (batch, order) in best.items())
+
+
+def test_each_hash_is_kept_once_across_increments(spark, tmp_path):
+    # A hot review: half of all rows are copies of one, in all increments.
+    raw = reviews(spark, SF_SMALL)
+    one = raw.where("rating = '5' AND length(text) > 200").orderBy("ingest_seq").limit(1)
+    raw = raw.unionByName(one.drop("ingest_seq").crossJoin(spark.range(1000, 1200).withColumnRenamed("id", "ingest_seq"))).persist()
+    progress, seen = StreamProgress(), 0
+    spark.streams.addListener(progress)
+    for increment in range(3):
+        land(raw, tmp_path, increment)
+        query = start(spark, tmp_path, raw.schema)
+        seen += query.recentProgress[0].stateOperators[0].numRowsUpdated
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+    spark.streams.removeListener(progress)
+    want = firsts(raw)
+    assert kept(spark, tmp_path) == want
+    assert "rocksdbGetCount" in query.recentProgress[0].stateOperators[0].customMetrics
+    rows = progress.frame(spark).collect()
+    assert [r.batch_id for r in rows] == [0, 1, 2] and {r.run_id for r in rows} == {"one"}
+    assert sum(r.input_records for r in rows) == raw.count() and rows[-1].state_rows == len(want)
+    # An increment touches the state of its own hashes only, and each once.
+    own = {(r.ingest_seq % 3, r.review_hash) for r in preprocess_reviews(raw, None).collect()}
+    assert seen == len(own)
+
+    # The same run has nothing to do; a new checkpoint under its name would overwrite its output.
+    start(spark, tmp_path, raw.schema)
+    assert kept(spark, tmp_path) == want
+    with pytest.raises(ValueError, match="new run"):
+        start(spark, tmp_path, raw.schema, offsets="others")
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
+    raw.unpersist()
+
+
+def test_a_crash_within_an_increment_loses_and_repeats_nothing(spark, tmp_path, monkeypatch):
+    raw = reviews(spark, SF_SMALL)
+    real, calls = keyed.append_clean, []
+
+    def failing(*args):
+        calls.append(1)
+        real(*args)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+
+    monkeypatch.setattr(keyed, "append_clean", failing)
+    for increment in range(3):
+        land(raw, tmp_path, increment)
+        if increment == 1:
+            with pytest.raises(Exception, match="lost"):
+                start(spark, tmp_path, raw.schema)
+        start(spark, tmp_path, raw.schema)
+    assert kept(spark, tmp_path) == firsts(raw)
+
+
+def test_increments_without_a_new_or_a_valid_review(spark, tmp_path):
+    raw = reviews(spark, SF_SMALL).where("rating = '5'").limit(10).persist()
+    land(raw, tmp_path, 0, of=1)
+    start(spark, tmp_path, raw.schema)
+    want = kept(spark, tmp_path)
+    raw.withColumn("ingest_seq", F.col("ingest_seq") + 5000).write.mode("append").json(f"{tmp_path}/in")
+    start(spark, tmp_path, raw.schema)
+    raw.withColumn("rating", F.lit("no")).write.mode("append").json(f"{tmp_path}/in")
+    start(spark, tmp_path, raw.schema)
+    assert want and kept(spark, tmp_path) == want
+    raw.unpersist()
