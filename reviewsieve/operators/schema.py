@@ -18,11 +18,11 @@ from reviewsieve.session import write_once
 
 
 def find_column(columns: Iterable[str], candidates: Iterable[str]) -> str | None:
-    """The first candidate that is a column, ignoring case and outer space.
+    """The first candidate that is a column; both are compared without case and outer space.
 
     Where two columns fold to one name, the later one is taken.
     """
-    rank = {alias: place for place, alias in reversed(list(enumerate(candidates)))}
+    rank = {_folded(alias): place for place, alias in reversed(list(enumerate(candidates)))}
     known = [(rank[_folded(c)], -place, c) for place, c in enumerate(columns) if _folded(c) in rank]
     return min(known)[2] if known else None
 

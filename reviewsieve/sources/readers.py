@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import re
+from collections import Counter
 from collections.abc import Callable
 from pathlib import PurePosixPath
 
@@ -11,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewsieve.session import WrittenTable, write_once
+from reviewsieve.sources.csv_records import csv_records
 
 # The rating stays text until it is validated, so that bad values survive. The
 # keys of an image are not fixed, hence the maps.
@@ -30,6 +34,7 @@ RAW_REVIEW_SCHEMA = T.StructType(
 )
 
 _CORRUPT = "_corrupt_record"
+FILE_PLACE = "_file_place"
 LAYOUTS = ("auto", "document", "lines")
 
 
@@ -168,22 +173,62 @@ def read_json_document(
 # --- Other formats ---------------------------------------------------------------------
 
 
+def _column_names(header: list[str]) -> list[str]:
+    """Names of a header's fields: empty ones go by their place, repeated ones get it."""
+    copies = Counter(n.lower() for n in header)
+    return [f"_c{i}" if not n else f"{n}{i}" if copies[n.lower()] > 1 else n for i, n in enumerate(header)]
+
+
+def _csv_type(fields: list[T.StructField]) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in fields)
+
+
+def _split_csv(spark: SparkSession, path: str, schema: T.StructType | None, strict: bool) -> DataFrame:
+    """CSV from records that were put together block by block; each is parsed once, by Spark."""
+    records = csv_records(spark, path)
+    if schema is None:
+        # One line of text; all other headers are compared with it in tasks.
+        first = records.where("head").orderBy("file").first()
+        header = next(csv.reader(io.StringIO(first["record"], newline=""))) if first else []
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in _column_names(header)])
+    else:
+        header = schema.names
+    options = {"escape": '"', "multiLine": "true", "mode": "PERMISSIVE"}
+    wanted = F.array(*[F.lower(F.lit(n or None)) for n in header], F.lit(None).cast("string"))
+    names = F.from_csv("record", _csv_type([T.StructField(f"f{i}", T.StringType()) for i in range(len(header) + 1)]), options)
+    same = F.array(*[F.lower(names[f"f{i}"]) for i in range(len(header) + 1)]).eqNullSafe(wanted)
+    other = F.raise_error(F.concat(F.lit("The CSV header in "), F.col("file"), F.lit(f" is not that of {header}: "), F.col("record"))).cast("boolean")
+    row = F.from_csv("record", _csv_type([*schema.fields, T.StructField(_CORRUPT, T.StringType())]), {**options, "columnNameOfCorruptRecord": _CORRUPT})
+    body = records.where(F.when(~F.col("head"), True).when(same, False).otherwise(other))
+    parsed = body.select("file", "block", "number", F.explode(F.array(row)).alias("_row"))
+    bad = F.col("_row")[_CORRUPT].isNotNull()
+    message = F.concat(F.lit("Malformed CSV row in "), F.col("file"), F.lit(": "), F.col("_row")[_CORRUPT])
+    parsed = parsed.where(F.when(bad, F.raise_error(message).cast("boolean")).otherwise(True) if strict else ~bad)
+    place = F.struct("file", "block", "number").alias(FILE_PLACE)
+    return parsed.select(*[F.col("_row")[f.name].alias(f.name) for f in schema.fields], place)
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
     schema: T.StructType | None = None,
     multi_line: bool = True,
     strict: bool = True,
+    place: bool = False,
 ) -> DataFrame:
     """CSV with a header; all columns are text unless a schema is given.
 
-    Quoted fields may hold line breaks. Where none do, `multi_line=False` lets
-    Spark split large files. Strict reading fails on a row with too many or too few
-    fields or with a value that does not fit the schema; otherwise such rows are dropped.
+    Quoted fields may hold line breaks, and large files are still read by many tasks; lines end with a line feed.
+    Where no field holds a line break, `multi_line=False` saves a pass over the files. All files must have the header
+    of the first, or of the schema. Strict reading fails on a row with too many or too few
+    fields or with a value that does not fit the schema; otherwise such rows are dropped. `place` adds
+    the column that `numbered` builds on.
     """
+    if multi_line:
+        df = _split_csv(spark, path, schema, strict)
+        return df if place else df.drop(FILE_PLACE)
     reader = (
         spark.read.option("header", True)
-        .option("multiLine", multi_line)
         .option("escape", '"')
         .option("enforceSchema", False)
         .option("mode", "FAILFAST" if strict else "DROPMALFORMED")
@@ -192,7 +237,7 @@ def read_csv(
     if schema is None:
         # Rows are only checked against a schema that is given.
         df = reader.schema(df.schema).csv(path)
-    return df
+    return _with_place(df) if place else df
 
 
 def _wrapper_files(spark: SparkSession, files: list[str], fields: list[str]) -> set[str]:
@@ -215,8 +260,9 @@ def _line_files(spark: SparkSession, path: str, schema: T.StructType | None) ->
     """Files of JSON lines, and files that are documents.
 
     A file whose first line is a whole object holds lines if more lines follow. With no more than
-    that line it is a document if the object is a wrapper, by the fields of the schema or, without one, of the lines of
-    other files. A record alone in its file is the same row in both layouts.
+    that line it is a document if the object is a wrapper by the fields of the schema. A record alone in its file is the
+    same row in both layouts. Without a schema an object whose only list holds nothing but objects may be
+    either: it is a document among documents, but beside files of lines the job stops.
     """
     text = F.regexp_replace("value", r"^[\s﻿]+", "")
     lines = spark.read.text(path).select(
@@ -225,7 +271,8 @@ def _line_files(spark: SparkSession, path: str, schema: T.StructType | None) ->
         text.alias("line"),
     )
     # Only these small values are aggregated: a line may be a whole document.
-    whole = F.json_object_keys("line").isNotNull()
+    # Only a file's first block can hold its first line; a larger blank head makes it a document, which then fails.
+    whole = F.when(F.col("place.file_block_start") == 0, F.json_object_keys("line").isNotNull())
     found = (
         lines.where("line <> ''")
         .select("file", "place", whole.alias("whole"))
@@ -237,7 +284,9 @@ def _line_files(spark: SparkSession, path: str, schema: T.StructType | None) ->
     documents = [r.file for r in found if not r.whole]
     single = [r.file for r in found if r.whole and r.lines == 1]
     if single and (schema or several):
-        wrappers = _wrapper_files(spark, single, (schema or _inferred_lines(spark, several)).fieldNames())
+        wrappers = _wrapper_files(spark, single, schema.fieldNames() if schema else [])
+        if wrappers and not schema:
+            raise ValueError(f"{min(wrappers)} holds one object with a list of objects, which may be a record or a document; name a schema or a layout.")
         several += [f for f in single if f not in wrappers]
         single = [f for f in single if f in wrappers]
     return several, documents + single
@@ -311,8 +360,6 @@ def read_uploaded_data(
 
 # --- Streams and order -----------------------------------------------------------------
 
-FILE_PLACE = "_file_place"
-
 
 def read_reviews_stream(
     spark: SparkSession,
@@ -359,5 +406,5 @@ def numbered(df: DataFrame, name: str = "ingest_seq") -> WrittenTable:
 
 
 def with_ingest_seq(df: DataFrame, name: str = "ingest_seq") -> DataFrame:
-    """`numbered` for a DataFrame that is read straight from files."""
-    return numbered(_with_place(df), name).data
+    """`numbered` for a DataFrame that is read straight from files, or with a place."""
+    return numbered(df if FILE_PLACE in df.columns else _with_place(df), name).data

@@ -28,6 +28,8 @@ def test_find_column():
     assert schema.find_column(["score", "OVERALL"], RATING_ALIASES) == "OVERALL"
     assert schema.find_column(["Text", "text"], TEXT_ALIASES) == "text"
     assert schema.find_column(["a"], TEXT_ALIASES) is None
+    assert schema.find_column(["Text"], ["Text"]) == schema.find_column([" text"], ["TEXT "]).title().strip() == "Text"
+    assert schema.find_column(["b", "a"], ["A", " a", "B"]) == "a"
 
 
 def test_key_sets(mixed):

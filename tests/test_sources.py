@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.errors import PySparkException
@@ -8,6 +9,7 @@ from pyspark.sql import types as T
 from reviewsieve.sources import (
     RAW_REVIEW_SCHEMA,
     append_clean,
+    csv_records,
     detect_file_format,
     read_clean,
     read_csv,
@@ -197,10 +199,77 @@ def test_one_line_files_are_judged_by_their_own_object(spark, tmp_path):
         want = [1, 2, 3, 4, 5, 6] if lines else [1, 2, 3, 4]
         if lines:
             put(folder, "lines.json", '{"a": 5, "images": []}\n{"a": 6, "t": "y"}\n')
-            assert sorted(r.a for r in read_uploaded_data(spark, str(folder)).collect()) == want
+            # Without a schema nothing tells a record with images from a document; other files do not decide it.
+            with pytest.raises(ValueError, match="schema or a layout"):
+                read_uploaded_data(spark, str(folder))
         assert sorted(r.a for r in read_reviews(spark, str(folder), SCHEMA).collect()) == want
 
 
+def test_files_beside_a_document_do_not_change_its_rows(spark, tmp_path):
+    """A wrapper that shares a field with the lines beside it."""
+    folder = tmp_path / "mixed.json"
+    folder.mkdir()
+    put(folder, "wrapped.json", '{"data": [{"body": "a"}, {"body": "b"}], "text": "note"}')
+    assert sorted(r.body for r in read_uploaded_data(spark, str(folder)).collect()) == ["a", "b"]
+    put(folder, "lines.json", '{"text": "c"}\n{"text": "d"}\n')
+    with pytest.raises(ValueError, match="wrapped.json"):
+        read_uploaded_data(spark, str(folder))
+    both = spark.createDataFrame([], "body string, text string").schema
+    got = read_reviews(spark, str(folder), both).collect()
+    assert sorted(map(str, (r.body or r.text for r in got))) == ["a", "b", "c", "d"]
+
+
+CSV_FIELDS = ["plain", "", " two words ", 'say ""hi""', "a,b", "line one\nline two", "\n\n", "end\r\nof", '""', "é漢", 'x\n""y"",\nz', 'height 5" or so']
+
+
+def csv_text(rng, rows):
+    quoted = lambda f: f'"{f}"' if any(c in f for c in ',\n') or '""' in f else f
+    return "a,b,c\n" + "".join(",".join(quoted(rng.choice(CSV_FIELDS)) for _ in range(3)) + "\n" for _ in range(rows))
+
+
+@pytest.mark.parametrize("size", [7, 64, 1 << 20])
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_quoted_csv_in_ranges_smaller_than_a_record(spark, tmp_path, monkeypatch, size, limit):
+    """Beside Spark's reader of whole files; ranges cut records, lines and quotes at all places."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    rng = random.Random(size)
+    for name in ("one", "two"):
+        put(folder, f"{name}.csv", csv_text(rng, 25))
+    put(folder, "open.csv", 'a,b,c\n1,"' + "inside\n" * 60 + '",3\n4,5,6')
+    put(folder, "bom.csv", '\ufeff"a",B,c\r\n7,8,"9"\r\n\r\n')
+    whole = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv([str(folder / f"{n}.csv") for n in ("one", "two", "open")])
+    want = sorted([tuple(r) for r in whole.collect()] + [("7", "8", "9")], key=str)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    monkeypatch.setattr(csv_records, "BROADCAST_ROWS", limit)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        df = read_csv(spark, str(folder))
+        assert sorted(map(tuple, df.collect()), key=str) == want
+        if size == 64:
+            assert spark.read.text(str(folder)).rdd.getNumPartitions() > 20
+            ordered = with_ingest_seq(read_csv(spark, str(folder / "one.csv"), place=True)).orderBy("ingest_seq")
+            in_file = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(str(folder / "one.csv"))
+            assert [tuple(r)[:3] for r in ordered.collect()] == [tuple(r) for r in in_file.collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_csv_headers_must_agree(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    put(folder, "a.csv", "x,x,\n1,2,3\n")
+    assert read_csv(spark, str(folder)).columns == ["x0", "x1", "_c2"]
+    put(folder, "b.csv", "x,y,\n1,2,3\n")
+    with pytest.raises(Exception, match="CSV header"):
+        read_csv(spark, str(folder)).collect()
+    put(tmp_path, "more.csv", "a,t,u\n1,x,y\n")
+    with pytest.raises(Exception, match="CSV header"):
+        read_csv(spark, str(tmp_path / "more.csv"), SCHEMA).collect()
+
+
 def test_document_wrappers_are_judged_file_by_file(spark, tmp_path):
     put(tmp_path, "a.json", '{"reviews": [{"a": 1}, {"a": 2}]}')
     put(tmp_path, "b.json", '{"a": 3}')
