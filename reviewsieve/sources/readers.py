@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from reviewsieve.session import WrittenTable, write_once
 from reviewsieve.sources.csv_records import csv_records
+from reviewsieve.sources.json_records import document_items
 
 # The rating stays text until it is validated, so that bad values survive. The
 # keys of an image are not fixed, hence the maps.
@@ -111,35 +112,51 @@ def _is_object(value: Column) -> Column:
     return F.schema_of_variant(value).startswith("OBJECT")
 
 
-def _items(root: Column) -> Column:
-    """The records of one document: items of an array, those of an object's only list if all are
-    objects, else the object itself. Anything else stops the job."""
+def _holds_items(root: Column) -> Column:
+    """Whether a document's records are the items of its root array or of its only list, which then holds
+    nothing but objects; else it is an object and the record itself. Anything else stops the job."""
     variants = "array<variant>"
-    entries = F.map_values(root.cast("map<string,variant>"))
-    lists = F.filter(entries, lambda v: F.schema_of_variant(v).startswith("ARRAY"))
-    only = F.element_at(lists, 1).cast(variants)
-    wrapped = F.when(F.size(lists) == 1, F.when(F.forall(only, _is_object), only))
+    lists = F.filter(F.map_values(root.cast("map<string,variant>")), lambda v: F.schema_of_variant(v).startswith("ARRAY"))
+    wrapper = F.when(F.size(lists) == 1, F.forall(F.element_at(lists, 1).cast(variants), _is_object)).otherwise(False)
     kind = F.schema_of_variant(root)
-    items = (
-        F.when(kind.startswith("ARRAY"), root.cast(variants))
-        .when(kind.startswith("OBJECT"), F.coalesce(wrapped, F.array(root)))
-        .otherwise(F.raise_error(F.lit("A JSON root is neither an object nor an array.")).cast(variants))
+    stop = lambda message: F.raise_error(F.lit(message)).cast("boolean")
+    return (
+        F.when(kind.startswith("OBJECT"), wrapper)
+        .when(~kind.startswith("ARRAY"), stop("A JSON root is neither an object nor an array."))
+        .when(F.forall(root.cast(variants), _is_object), True)
+        .otherwise(stop("A JSON array holds items that are not objects."))
     )
-    good = F.forall(items, _is_object)
-    message = F.lit("A JSON array holds items that are not objects.")
-    return F.when(good, items).otherwise(F.raise_error(message).cast(variants))
 
 
-def _documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(_record) of every record. A file is one value: it is parsed as the only item of an array, so
-    that anything behind the root is an error."""
-    whole = spark.read.text(path, wholetext=True).select(F.regexp_replace("value", "^﻿", "").alias("value"))
-    boxed = F.parse_json(F.concat(F.lit("["), F.col("value"), F.lit("]"))).cast("array<variant>")
-    roots = whole.select(F.explode(F.array(boxed)).alias("roots"))
+def _roots(texts: DataFrame) -> DataFrame:
+    """(file, root) of texts (file, value). A text is parsed as the only item of an array, so that
+    anything behind the root is an error."""
+    value = F.regexp_replace("value", "^\ufeff", "")
+    boxed = F.parse_json(F.concat(F.lit("["), value, F.lit("]"))).cast("array<variant>")
+    roots = texts.select("file", F.explode(F.array(boxed)).alias("roots"))
     single = F.when(F.size("roots") == 1, F.col("roots")[0]).otherwise(
         F.raise_error(F.lit("A JSON file holds no value, or several.")).cast("variant")
     )
-    return roots.select(single.alias("root")).select(F.explode(_items(F.col("root"))).alias("_record"))
+    return roots.select("file", single.alias("root"))
+
+
+def _documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(_record) of every record. Items are cut out in many tasks for each file, and what is left of a
+    document tells whether they are its records. Only a document that is the record itself is read as one value."""
+    items, outlines = document_items(spark, path)
+    roots = _roots(outlines.select("file", F.col("outline").alias("value")))
+    judged = write_once(roots.select("file", _holds_items(F.col("root")).alias("wrapper")), "documents")
+    # File names, which Spark's index of the files holds as well.
+    singles = [r.file for r in judged.data.where("NOT wrapper").select("file").collect()]
+    records = items
+    if singles:
+        wrappers = WrittenTable(judged.data.where("wrapper").select("file"), judged.rows, judged.path)
+        records = items.join(wrappers.sized_for_join(), "file", "left_semi")
+    records = records.select(F.parse_json("record").alias("_record"))
+    if singles:
+        whole = spark.read.text(singles, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+        records = records.unionByName(_roots(whole).select(F.col("root").alias("_record")))
+    return records
 
 
 def _inferred_records(records: DataFrame) -> T.StructType:
@@ -160,9 +177,9 @@ def read_json_document(
     """Whole-document JSON, each file by itself.
 
     An array gives its items. An object whose only list holds nothing but objects gives the
-    items of that list, any other object is one row. Files are read in
-    parallel, each as one value. `schema` describes the rows; without one it
-    is taken from all records. Files without a byte are passed over.
+    items of that list, any other object is one row. Large files are read by many tasks, which cut the items
+    out; all files are read twice. `schema` describes the rows; without one it
+    is taken from all records. Files without a byte are passed over. A malformed document stops the job.
     """
     records = _documents(spark, path)
     schema = schema or _inferred_records(records)

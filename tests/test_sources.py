@@ -11,6 +11,7 @@ from reviewsieve.sources import (
     append_clean,
     csv_records,
     detect_file_format,
+    json_records,
     read_clean,
     read_csv,
     read_json_document,
@@ -227,8 +228,7 @@ def csv_text(rng, rows):
     return "a,b,c\n" + "".join(",".join(quoted(rng.choice(CSV_FIELDS)) for _ in range(3)) + "\n" for _ in range(rows))
 
 
-@pytest.mark.parametrize("size", [7, 64, 1 << 20])
-@pytest.mark.parametrize("limit", [0, 1000])
+@pytest.mark.parametrize(("size", "limit"), [(7, 1000), (64, 0), (1 << 20, 1000)])
 def test_quoted_csv_in_ranges_smaller_than_a_record(spark, tmp_path, monkeypatch, size, limit):
     """Beside Spark's reader of whole files; ranges cut records, lines and quotes at all places."""
     folder = tmp_path / "in"
@@ -257,6 +257,43 @@ def test_quoted_csv_in_ranges_smaller_than_a_record(spark, tmp_path, monkeypatch
         spark.conf.unset("spark.sql.files.minPartitionNum")
 
 
+def json_value(rng, depth=0):
+    kind = rng.randrange(7 if depth < 3 else 4)
+    text = "".join(rng.choice(['a', '}', '{', '[', ']', '"', "\\", ",", "\n", "é", " "]) for _ in range(rng.randrange(6)))
+    if kind > 4:
+        return {text + str(i): json_value(rng, depth + 1) for i in range(rng.randrange(3))}
+    return [text, rng.randrange(9), None, True, [json_value(rng, depth + 1) for _ in range(rng.randrange(3))]][kind if depth < 3 else kind % 4]
+
+
+@pytest.mark.parametrize(("size", "limit"), [(9, 1000), (64, 0), (1 << 20, 1000)])
+def test_documents_in_ranges_smaller_than_a_record(spark, tmp_path, monkeypatch, size, limit):
+    """Brackets and escapes in strings, nested items, wrappers with other fields, documents that are records."""
+    rng = random.Random(size)
+    record = lambda i: {"a": i, "t": json.dumps(json_value(rng)), "more": json_value(rng)}
+    items = [record(i) for i in range(40)]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    put(folder, "array.json", "\ufeff" + json.dumps(items[:12]))
+    put(folder, "pretty.json", json.dumps({"x": {"y": [{"a": 99}]}, "tags": "]}", "rows": items[12:25], "n": {"}": 1}}, indent=2, ensure_ascii=False) + "\n")
+    put(folder, "single.json", json.dumps(items[25] | {"p": [{"a": 98}], "q": [{"a": 97}]}))
+    put(folder, "mixed.json", json.dumps(items[26] | {"p": [{"a": 96}, 1]}) + "  ")
+    put(folder, "none.json", json.dumps({"rows": []}))
+    put(folder, "empty.json", "")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    monkeypatch.setattr(json_records, "BROADCAST_ROWS", limit)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        got = read_json_document(spark, str(folder), SCHEMA).collect()
+        assert sorted(map(tuple, got)) == [(i["a"], i["t"]) for i in items[:27]]
+        for content in () if size == 9 else ("[{}]}", "[{} {}]", '{"a": [{}}', "[{}, 1]", "[[{}]]", '[{"a": 1}', '{"a": 1} {"a": 2}', " ", "[{},]"):
+            with pytest.raises(Exception, match="JSON|parse|cast|MALFORMED|Malformed"):
+                read_json_document(spark, put(tmp_path, "bad.json", content), SCHEMA).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
 def test_csv_headers_must_agree(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
