@@ -42,7 +42,16 @@ def _is_present(field: T.StructField) -> Column:
     return value.isNotNull()
 
 
+def _is_json(df: DataFrame) -> bool:
+    """Whether the rows are JSON objects as they are (`read_json_records`), in one variant column."""
+    return [type(f.dataType) for f in df.schema.fields] == [T.VariantType]
+
+
 def _key_set(df: DataFrame) -> Column:
+    """Names of the fields that are present in a row, sorted; of JSON objects whatever fields each has."""
+    if _is_json(df):
+        entries = F.map_filter(_quoted(df.columns[0]).cast("map<string,variant>"), lambda k, v: v.isNotNull() & ~F.is_variant_null(v))
+        return F.array_sort(F.map_keys(entries))
     fields = sorted(df.schema.fields, key=lambda f: f.name)
     return F.array_compact(F.array(*[F.when(_is_present(f), F.lit(f.name)) for f in fields]))
 
@@ -61,6 +70,11 @@ def _has(name: str) -> Column:
 
 def schema_summary(df: DataFrame) -> DataFrame:
     """Row count, number and names of fields seen, number of key-sets."""
+    if _is_json(df):
+        fields = key_sets(df).select("records", F.posexplode_outer("key_set").alias("place", "field"))
+        once = F.coalesce(F.col("place"), F.lit(0)) == 0
+        summed = fields.agg(F.coalesce(F.sum(F.when(once, F.col("records"))), F.lit(0)).alias("total_rows"), F.count_if(once).alias("distinct_key_sets"), F.array_sort(F.collect_set("field")).alias("names"))
+        return summed.select("total_rows", F.size("names").cast("long").alias("columns_seen_count"), F.array_join("names", ",").alias("columns_seen"), "distinct_key_sets")
     summed = key_sets(df).agg(
         F.coalesce(F.sum("records"), F.lit(0)).alias("total_rows"),
         F.count(F.lit(1)).alias("distinct_key_sets"),

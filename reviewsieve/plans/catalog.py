@@ -33,6 +33,7 @@ from reviewsieve.sources import (
     read_clean,
     read_csv,
     read_json_document,
+    read_json_records,
     read_jsonl,
     read_reviews,
     read_reviews_stream,
@@ -178,6 +179,17 @@ def absent_label_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return schema.sometimes_absent_fields(documents.join(labels, "doc_id", "left"))
 
 
+def _open_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their labels as JSON lines, without null fields and each with a field named by its source; no schema says which."""
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    labelled = documents.join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id", "left")
+    path = scratch_path(spark, "records")
+    fixed = F.to_json(F.struct(*labelled.columns))
+    named = F.concat(F.expr("substr(fixed, 1, length(fixed) - 1)"), F.lit(',"'), "source", F.lit('":[1]}'))
+    labelled.withColumn("fixed", fixed).select(F.coalesce(named, "fixed").alias("value")).write.text(path)
+    return read_json_records(spark, path)
+
+
 def event_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     return profiling.rating_distribution(events, "event_type")
@@ -407,6 +419,9 @@ def queries() -> dict[str, Query]:
         "c2_event_key_sets": lambda spark, sf_dir: _joined_keys(
             schema.key_sets(spark.read.parquet(f"{sf_dir}/events.parquet"))
         ),
+        "c2_json_key_sets": lambda spark, sf_dir: _joined_keys(schema.key_sets(_open_records(spark, sf_dir))),
+        "c3_json_schema_summary": lambda spark, sf_dir: schema.schema_summary(_open_records(spark, sf_dir)),
+        "c5_json_absent_fields": lambda spark, sf_dir: schema.sometimes_absent_fields(_open_records(spark, sf_dir)),
         "c3_schema_summary": on_reviews(schema.schema_summary),
         "c4_top_key_sets": on_reviews(lambda df: _joined_keys(schema.top_key_sets(df))),
         "c5_sometimes_absent_fields": on_reviews(schema.sometimes_absent_fields),

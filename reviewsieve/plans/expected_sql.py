@@ -239,6 +239,15 @@ WHOLE_STATS = f"""
     )"""
 
 
+OPEN_SETS = """
+    open_sets AS (
+        SELECT fields, array_to_string(fields, ',') AS key_set, count(*) AS records FROM (
+            SELECT list_sort(list_filter(['doc_id', CASE WHEN lang IS NOT NULL THEN 'lang' END, CASE WHEN source IS NOT NULL THEN 'source' END,
+                CASE WHEN quality IS NOT NULL THEN 'quality' END, CASE WHEN toxic IS NOT NULL THEN 'toxic' END, source], lambda f: f IS NOT NULL)) AS fields
+            FROM documents LEFT JOIN labels USING (doc_id)) GROUP BY ALL
+    )"""
+
+
 def expected() -> dict[str, str]:
     plain = f"SELECT {COLUMNS} FROM reviews"
     clean_rows = "ingest_seq, rating, text_normalized, title_normalized, review_hash"
@@ -288,6 +297,17 @@ def expected() -> dict[str, str]:
             ],
             "SELECT key_set, records FROM key_sets",
         ),
+        "c2_json_key_sets": _with([OPEN_SETS], "SELECT key_set, records FROM open_sets"),
+        "c3_json_schema_summary": _with(
+            [OPEN_SETS, "names AS (SELECT DISTINCT unnest(fields) AS f FROM open_sets)"],
+            """SELECT CAST(sum(records) AS BIGINT) AS total_rows, (SELECT count(*) FROM names) AS columns_seen_count,
+                (SELECT string_agg(f, ',' ORDER BY f) FROM names) AS columns_seen, count(*) AS distinct_key_sets FROM open_sets""",
+        ),
+        "c5_json_absent_fields": _with(
+            [OPEN_SETS],
+            """SELECT DISTINCT unnest(fields) AS field FROM open_sets
+            EXCEPT SELECT unnest(fields) FROM (SELECT fields FROM open_sets ORDER BY records DESC, fields LIMIT 1)""",
+        ),
         "c3_schema_summary": _with(
             REVIEW_KEY_SETS,
             """SELECT CAST(sum(records) AS BIGINT) AS total_rows,

@@ -5,6 +5,7 @@ from reviewsieve.sources.readers import (
     detect_file_format,
     read_csv,
     read_json_document,
+    read_json_records,
     read_jsonl,
     read_reviews,
     read_reviews_stream,
@@ -20,6 +21,7 @@ __all__ = [
     "read_clean",
     "read_csv",
     "read_json_document",
+    "read_json_records",
     "read_jsonl",
     "read_reviews",
     "read_reviews_stream",

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from reviewsieve.fixed_values import RATING_ALIASES, TEXT_ALIASES
 from reviewsieve.operators import profiling, schema
+from reviewsieve.sources import read_json_records
 from tests.test_language import small_model
 
 NAN = float("nan")
@@ -139,3 +140,17 @@ def test_padded_names_are_classified_by_their_trimmed_form(spark):
 def test_first_records_of_key_sets_are_ordered(spark):
     df = spark.createDataFrame([(i, "x" if i < 5 else None) for i in range(40)], "ingest_seq long, t string").repartition(7)
     assert [tuple(r) for r in schema.key_sets(df, 5).collect()] == [(["ingest_seq", "t"], 5)]
+
+
+def test_key_sets_of_json_records_without_a_schema(spark, tmp_path):
+    path = tmp_path / "r.jsonl"
+    path.write_text('{"b": 1, "a": {"x": null}}\n\n{"a": null, "b": [], "9": ""}\n {"B": 0, "b": "x", "9": false}\n{}\n')
+    records = read_json_records(spark, str(path))
+    sets = {tuple(r.key_set): r.records for r in schema.key_sets(records).collect()}
+    assert sets == {("a", "b"): 1, ("9", "b"): 1, ("9", "B", "b"): 1, (): 1}
+    assert tuple(schema.schema_summary(records).first()) == (4, 4, "9,B,a,b", 4)
+    assert {r.field for r in schema.sometimes_absent_fields(records).collect()} == {"9", "a", "B", "b"}
+    (tmp_path / "bad.jsonl").write_text('{"a": 1}\n[2]\n{"a": 1, "a": 2}\n{"a": \n')
+    with pytest.raises(Exception, match="JSON|DUPLICATE"):
+        read_json_records(spark, str(tmp_path / "bad.jsonl")).collect()
+    assert read_json_records(spark, str(tmp_path / "bad.jsonl"), strict=False).count() == 1
