@@ -1,9 +1,9 @@
 """Language identification by character trigrams.
 
 Profiles are trained from labelled text as a grouping job. Detection scores each text where it is: an
-Arrow-batched function adds up the trigram weights of its words, from a broadcast of the profiles, so no row
-moves and the input is read once. The weights are integers, so every engine and every partitioning
-gives the same sums.
+Arrow-batched function looks up the trigrams of a batch as packed numbers in numpy and adds up their weights, from a
+broadcast of the profiles, so no row moves and the input is read once. The weights are integers, so
+every engine and every partitioning gives the same sums.
 """
 
 from __future__ import annotations
@@ -11,15 +11,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewsieve.fixed_values import KEEP_UNDETECTABLE, PROFILE_SIZE, TARGET_LANGUAGE
 from reviewsieve.session import write_once
 
-# Words whose weights a worker remembers; others are worked out again.
-REMEMBERED_WORDS = 200_000
+# Characters that are scored together. A longer text is cut between words and its sums are added up.
+PIECE = 1 << 18
+# Up to this many packed trigrams a table holds the place of each; beyond it, known ones are searched in order.
+TABLE = 1 << 22
 
 # Every position of a word, one code point at a time, with the three characters
 # that start there.
@@ -116,43 +119,73 @@ def train_language_model(
 
 
 def language_of(text: Column, model: LanguageModel, spark: SparkSession) -> Column:
-    """Language of a text: null for a null text and where no trigram is known.
-
-    Words repeat, so a worker keeps the summed weights of those it has seen.
-    """
-    shared, most = spark.sparkContext.broadcast((model.languages, model.weights)), REMEMBERED_WORDS
+    """Language of a text: null for a null text and where no trigram is known."""
+    shared, piece, most = spark.sparkContext.broadcast((model.languages, model.weights)), PIECE, TABLE
 
     # All that runs in a task is inside, so that it travels with the query.
-    def detect(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def detect(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         languages, weights = shared.value
-        known: dict[str, tuple[tuple[int, int], ...]] = {}
-
-        def weigh(word: str) -> tuple[tuple[int, int], ...]:
-            sums: dict[int, int] = {}
-            padded = f" {word} "
-            for i in range(len(word)):
-                for language, weight in weights.get(padded[i : i + 3], ()):
-                    sums[language] = sums.get(language, 0) + weight
-            if len(known) >= most:
-                known.clear()
-            return known.setdefault(word, tuple(sums.items()))
-
-        def best(words: str | None) -> str | None:
-            if not words:
-                return None
-            sums = [0] * len(languages)
-            for word in words.split(" "):
-                found = known.get(word)
-                for language, weight in weigh(word) if found is None else found:
-                    sums[language] += weight
-            top = max(sums)
-            # Languages are in alphabetical order, so a tie goes to the first of them.
-            return languages[sums.index(top)] if top > 0 else None
+        # Characters of the profiles are numbered from 1, all others are 0, and a trigram is a number of three such digits.
+        letters = sorted({letter for gram in weights for letter in gram})
+        number = np.zeros(0x110000, np.int32)
+        number[[ord(letter) for letter in letters]] = np.arange(1, len(letters) + 1)
+        base = len(letters) + 1
+        points = np.array([[ord(letter) for letter in gram] for gram in weights])
+        packed = number[points].astype(np.int64) @ np.array([base * base, base, 1])
+        order = np.argsort(packed)
+        known = packed[order]
+        # A row of weights for each language; the last place is that of unknown trigrams.
+        by_language = np.zeros((len(languages), len(known) + 1), np.int32)
+        found = list(weights.values())
+        for place, gram in enumerate(order):
+            for language, weight in found[gram]:
+                by_language[language, place] = weight
+        table = None
+        if base**3 <= most:
+            table = np.full(base**3, len(known), np.int32)
+            table[known] = np.arange(len(known))
+            number = number.astype(np.int16 if base < 1 << 15 else np.int32)
+
+        def places(codes: np.ndarray) -> np.ndarray:
+            if table is not None:
+                return table[codes]
+            at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+            return np.where(known[at] == codes, at, len(known))
+
+        def score(words: list[str]) -> np.ndarray:
+            """Sums of weights, languages by texts; a trigram belongs to the character in its middle."""
+            joined = f" {' '.join(words)} ".encode("utf-32-le")
+            digits = number[np.frombuffer(joined, "<u4")].astype(np.int64 if table is None else np.int32)
+            at = places((digits[:-2] * base + digits[1:-1]) * base + digits[2:])
+            sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+            starts = np.cumsum(sizes) - sizes
+            return np.stack([np.add.reduceat(row[at], starts, dtype=np.int64) for row in by_language])
+
+        def pieces(texts: list[str | None]) -> Iterator[tuple[int, str]]:
+            for row, words in enumerate(texts):
+                start = 0
+                while words and start < len(words):
+                    end = words.find(" ", start + piece) if len(words) - start > piece else -1
+                    end = len(words) if end < 0 else end
+                    yield row, words[start:end]
+                    start = end + 1
 
         for batch in batches:
-            yield pd.Series([best(words) for words in batch], dtype=object)
+            sums = np.zeros((len(languages), len(batch)), np.int64)
+            rows, held, size = [], [], 0
+            for row, words in pieces(batch.to_pylist()):
+                rows.append(row)
+                held.append(words)
+                size += len(words)
+                if size >= piece:
+                    np.add.at(sums, (slice(None), rows), score(held))
+                    rows, held, size = [], [], 0
+            if held:
+                np.add.at(sums, (slice(None), rows), score(held))
+            # Languages are in alphabetical order, so a tie goes to the first of them.
+            yield pa.array(languages, pa.string()).take(pa.array(sums.argmax(axis=0), mask=sums.max(axis=0) == 0))
 
-    return F.pandas_udf(detect, "string")(letters_only(text))
+    return F.arrow_udf(detect, "string")(letters_only(text))
 
 
 def detect_language(

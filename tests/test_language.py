@@ -1,5 +1,6 @@
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from reviewsieve.operators import language
@@ -43,15 +44,18 @@ def test_profiles_equal_brute_force(spark):
     assert {tuple(r) for r in build_language_profiles(df, k).collect()} == want
 
 
-def test_detection_equals_brute_force(spark):
+@pytest.mark.parametrize("piece, table", [(1, 0), (1, 1 << 22), (7, 0), (1 << 18, 1 << 22)])
+def test_detection_equals_brute_force(spark, monkeypatch, piece, table):
     k = 40
+    monkeypatch.setattr(language, "PIECE", piece)
+    monkeypatch.setattr(language, "TABLE", table)
     ranks = {
         (r.lang, r.gram): r["rank"]
         for r in build_language_profiles(
             spark.createDataFrame(TRAINING, "lang string, text string"), k
         ).collect()
     }
-    texts = ["the dog", "le chien et la chose", "thing beau", "chat", "animal", "zzz", "q"]
+    texts = ["the dog", "le chien et la chose", "thing beau", "chat", "animal", "zzz", "q", "the \U0001d4b6 ça \U00020000the", "日the"]
 
     def want(text):
         scores = {
@@ -62,11 +66,8 @@ def test_detection_equals_brute_force(spark):
         return min(x for x in scores if scores[x] == best) if best else None
 
     df = spark.createDataFrame(list(enumerate(texts)), "ingest_seq long, text string")
-    for remembered in (1, 1000):
-        language.REMEMBERED_WORDS = remembered
-        model = small_model(spark, k)
-        got = {r.text: r.language for r in detect_language(df, "text", model).collect()}
-        assert got == {t: want(t) for t in texts}
+    got = {r.text: r.language for r in detect_language(df, "text", small_model(spark, k)).collect()}
+    assert got == {t: want(t) for t in texts}
 
 
 def test_undetectable_empty_and_disabled(spark):
