@@ -12,6 +12,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -157,16 +158,19 @@ def scan_text(data: bytes | None, search: NoticeSearch) -> tuple:
         if at := _places(text, phrase):
             places += at
             labels.add(label)
-    matches = []
-    for i, start, end, errors in search.find(text):
+    matches, found = [], search.find(text)
+    # Places of the spaces, so that the word at a place is looked up and not counted from the start of the text.
+    spaces = np.flatnonzero(np.frombuffer(text.encode("utf-32-le"), "<u4") == 0x20) if places or found else None
+    before = lambda at: int(np.searchsorted(spaces, at))
+    for i, start, end, errors in found:
         notice = search.notices[i]
         # Words that the span touches; a span may begin or end with a space.
         inner = text[start:end]
         begin = start + len(inner) - len(inner.lstrip(" "))
         stop = end - (len(inner) - len(inner.rstrip(" ")))
-        first = text.count(" ", 0, begin) - 1
-        matches.append({"label": notice.label, "first_word": first, "last_word": first + text.count(" ", begin, stop), "errors": errors, "score": 1 - errors / len(notice.text)})
-    starts = [text.count(" ", 0, at) for at in (min(places), max(places))] if places else [None, None]
+        first = before(begin) - 1
+        matches.append({"label": notice.label, "first_word": first, "last_word": before(stop) - 1, "errors": errors, "score": 1 - errors / len(notice.text)})
+    starts = [before(at) for at in (min(places), max(places))] if places else [None, None]
     score = 1.0 if places else max((m["score"] for m in matches), default=0.0)
     every = sorted(labels | {m["label"] for m in matches})
     return len(words), len(places), *starts, ",".join(sorted(labels)), ",".join(every), score, matches
