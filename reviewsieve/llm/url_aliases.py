@@ -3,7 +3,8 @@
 A rule names a host, with all its subdomains, and the start of a path; the longest that fits a URL
 decides. URLs that are one page, by redirect, canonical link or the rewriting that web servers do, form
 a component. A URL without a rule takes the decision of its component: allow if a rule allows any URL of it,
-else block if a rule blocks any, else allow.
+else block if a rule blocks any, else allow. Pages that carry the same article have one canonical URL too, whether
+or not they name it.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewsieve.llm.common import join_unique
+from reviewsieve.llm.common import join_unique, join_written
 from reviewsieve.llm.components import connected_components
 from reviewsieve.session import WrittenTable, write_once
 
@@ -63,18 +64,31 @@ def rewritten(url: Column) -> Column:
     return F.when(host == "", url).otherwise(F.concat(F.lit("https://"), host, path, F.when(query == "", F.lit("")).otherwise(F.concat(F.lit("?"), query))))
 
 
+def _without_dots(path: Column) -> Column:
+    """A path from the root without its "." and ".." steps."""
+    steps = F.split(path, "/")
+    # The first step is the empty one before the root's slash; ".." does not go above it.
+    up = lambda done: F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))
+    taken = F.aggregate(steps, F.array().cast("array<string>"), lambda done, s: F.when(s == "..", up(done)).when(s == ".", done).otherwise(F.concat(done, F.array(s))))
+    # A path that ends in such a step is a folder.
+    folder = F.element_at(steps, -1).isin(".", "..")
+    return F.concat(F.array_join(taken, "/"), F.when(folder, F.lit("/")).otherwise(F.lit("")))
+
+
 def _resolved(link: Column, base: Column) -> Column:
-    """An absolute URL from a link on a page."""
-    link = F.regexp_replace(F.trim(link), "&amp;", "&")
+    """An absolute URL without a fragment, from a link on the page `base`; null if there is none."""
+    link = F.regexp_replace(F.regexp_replace(F.trim(link), "&amp;", "&"), "(?s)#.*$", "")
     scheme = F.regexp_extract(base, "(?s)^(.*?)://", 1)
     root = F.concat(scheme, F.lit("://"), host_of(base))
-    folder = F.regexp_extract(path_of(base), "(?s)^(.*/)", 1)
+    here = F.when(path_of(base) == "", F.lit("/")).otherwise(path_of(base))
+    path, query = F.regexp_extract(link, "(?s)^([^?]*)", 1), F.regexp_extract(link, "(?s)^[^?]*(.*)$", 1)
+    folder = F.regexp_extract(here, "(?s)^(.*/)", 1)
     return (
         F.when((link == "") | (host_of(base) == "") & ~link.contains("://"), F.lit(None))
         .when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), link)
         .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
-        .when(link.startswith("/"), F.concat(root, link))
-        .otherwise(F.concat(root, F.when(folder == "", F.lit("/")).otherwise(folder), link))
+        .when(path == "", F.concat(root, here, query))
+        .otherwise(F.concat(root, _without_dots(F.when(path.startswith("/"), path).otherwise(F.concat(folder, path))), query))
     )
 
 
@@ -96,6 +110,28 @@ def rewrite_edges(urls: DataFrame, url_col: str = "url") -> DataFrame:
     return urls.select(F.col(url_col).alias("src"), rewritten(F.col(url_col)).alias("dst")).where("src <> dst")
 
 
+def copy_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """Edges (src, dst) from each URL to the canonical one of its article: the smallest whose article is the same byte for byte.
+
+    A page's article is what its first <article> holds; pages with none, or an empty one, have no edge. An article that many
+    pages carry is one row of a partial aggregation, and one edge for each of its URLs.
+    """
+    article = F.regexp_extract(F.col(html_col), "(?is)<article\\b[^>]*>(.*?)</article>", 1)
+    named = pages.select(F.col(url_col).cast("string").alias("src"), article.alias("article")).where("src IS NOT NULL AND article <> ''")
+    homes = write_once(named.select("src", F.unhex(F.sha2("article", 256)).alias("article")), "articles")
+    canonical = homes.data.groupBy("article").agg(F.min("src").alias("dst"), F.count("*").alias("n_pages")).where("n_pages > 1")
+    canonical = write_once(canonical, "canonical")
+    return join_written(homes.data, canonical, "article", "n_pages", homes.rows).where("src <> dst").select("src", "dst")
+
+
+def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """Edges of all kinds between the URLs of `pages` and those that they lead to."""
+    leads = link_edges(pages, url_col, html_col).union(copy_edges(pages, url_col, html_col))
+    leads = write_once(leads.distinct(), "leads").data
+    urls = pages.select(F.col(url_col).cast("string").alias("url")).union(leads.select("dst"))
+    return leads.union(rewrite_edges(urls))
+
+
 def match_rules(urls: DataFrame, rules: Sequence[Rule], url_col: str = "url") -> DataFrame:
     """Host, path, and the longest rule that fits (rule, rule_verdict; null without) of each of the distinct `urls`.
 

@@ -11,7 +11,7 @@ import regex
 import zstandard
 from pyspark.sql import functions as F
 
-from reviewsieve.llm import decontaminate, license_scan, url_aliases, warc_zstd
+from reviewsieve.llm import decontaminate, license_scan, queries, url_aliases, warc_zstd
 from reviewsieve.llm.common import alnum_words
 
 from .test_selection import DOCS, edge_docs
@@ -255,11 +255,42 @@ def test_rules_and_aliases(spark):
     assert url_aliases.judge_pages(pages, edges.limit(0)).count() == len(rows)
 
 
+def test_decisions_spread_over_copies(spark):
+    """Pages with one article have one canonical URL, whatever else differs; clashing columns and long URLs do no harm."""
+    long = "http://long.com/" + "x/" * 50_000
+    rows = [
+        ("http://a.net/1", "<p>1</p><article>same</article>"), ("http://b.com/2", '<ARTICLE class="x">same</ARTICLE> other'), (long, "<article>same</article>"),
+        ("http://c.com/3", "<article>Same</article>"), ("http://d.com/4", "<article></article>"), ("http://e.net/5", "<article></article>"), ("http://f.com/6", None), (None, "<article>same</article>"),
+        ("http://g.net/7", "<article>both</article>"), ("http://h.org/fr/8", "<article>both</article>"), ("http://i.com/9", "<article>both</article>"),
+        ("http://www.b.com/2/?utm_x=1", ""), ("http://j.net/", '<link rel=canonical href="https://k.com/p">'), ("http://m.k.com/p.html", "<article>unlike</article>"),
+    ]
+    rows = [(i, *r) for i, r in enumerate(rows)] + [(100 + i, "http://l.com/hot", "<article>same</article>") for i in range(200)]
+    names = ("src", "dst", "article", "n_pages", "host", "rule", "component", "verdict")
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3).select("*", *[F.lit("z").alias(n) for n in names])
+    got = {r["page_id"]: r for r in url_aliases.judge_pages(pages, url_aliases.alias_edges(pages)).collect()}
+    assert len(got) == len(rows)
+    blocked = {"http://a.net/1", "http://b.com/2", long, "http://e.net/5", "http://g.net/7", "http://www.b.com/2/?utm_x=1", "http://j.net/", "http://m.k.com/p.html", "http://l.com/hot"}
+    assert {u for i, u, _ in rows if got[i]["verdict"] == "block"} == blocked
+    assert url_aliases.alias_edges(pages.limit(0)).count() == 0
+
+
+def test_components_decide_pages(spark):
+    """Of the pages that no rule fits, the query blocks those that are copies of blocked ones only."""
+    rows = queries.op9_url_aliases(spark, "/root/testdata/sf0.01").where("rule IS NULL").groupBy("verdict").count().collect()
+    assert {r["verdict"] for r in rows} == {"allow", "block"} and all(r["count"] >= 10 for r in rows)
+
+
 def test_links_of_pages(spark):
     rows = [
         ("http://a.com/x/y?q", '<LINK href="/c" REL=canonical>', ["http://a.com/c"]),
         ("http://a.com/x/y", "<link rel='canonical' href='z.html'>", ["http://a.com/x/z.html"]),
         ("https://a.com", '<meta http-equiv="refresh" content="0; URL=//b.com/q?a=1&amp;b=2"><link rel="stylesheet" href="s">', ["https://b.com/q?a=1&b=2"]),
+        ("http://a.com/x/y?old#f", '<link rel="canonical" href="?p=1&amp;q#g">', ["http://a.com/x/y?p=1&q"]),
+        ("http://a.com/x/y/z", '<link rel="canonical" href="../w?u=../v">', ["http://a.com/x/w?u=../v"]),
+        ("http://a.com/x/y/z2", '<link rel="canonical" href="./../../../.././b/..">', ["http://a.com/"]),
+        ("http://a.com/x/y/z3", '<link rel="canonical" href="/p/./q/../r.html">', ["http://a.com/p/r.html"]),
+        ("http://b.com", '<link rel="canonical" href="k">', ["http://b.com/k"]),
+        ("http://a.com/x#here", '<link rel="canonical" href="#top">', []),
         ("http://a.com/", '<link rel="canonical">', []),
         ("relative", '<link rel="canonical" href="/c">', []),
         ("http://a.com/", None, []),
