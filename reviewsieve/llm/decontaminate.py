@@ -3,13 +3,14 @@
 The words of a document are streamed through the automaton, which knows after each word the
 longest match that ends there. A match of at least `window` words, or of a whole shorter item,
 marks its words. Items come in blocks of a bounded number of words; each block is one automaton,
-broadcast by its words and built once in a worker, and the documents pass it without a shuffle.
+broadcast by its words and built in each task, and the documents pass it without a shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import reduce
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reviewsieve.llm.common import _ALNUM, alnum_words, utf8
-from reviewsieve.session import write_once
+from reviewsieve.session import WrittenTable, write_once
 
 WINDOW = 10
 # Words of benchmark items in one automaton; more items make more automata.
@@ -146,18 +147,6 @@ class SuffixAutomaton:
         return spans, names
 
 
-_built: dict[int, SuffixAutomaton] = {}
-
-
-def _automaton(shared) -> SuffixAutomaton:
-    """The automaton of a broadcast block, built once in this worker."""
-    key = id(shared.value)
-    if key not in _built:
-        _built.clear()
-        _built[key] = SuffixAutomaton(*shared.value)
-    return _built[key]
-
-
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
     """Items in blocks of about `block_words` words; only one block is on the driver at a time."""
     block, held = [], 0
@@ -210,41 +199,85 @@ def benchmark_overlaps(
     with a null id count, but it is not listed. Repeated documents and items are each taken as they are, empty
     tables give no rows or no hits, and other columns are not read.
     """
-    schema = T.StructType(
+    blocks = item_blocks(benchmark, item_id_col, item_text_col, block_words)
+    first, second = next(blocks, []), next(blocks, None)
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    if second is None:
+        out = rows.mapInArrow(_finder(docs.sparkSession.sparkContext.broadcast((first, window)), True), _found_schema(rows))
+    else:
+        rows = write_once(rows, "to-scan")
+        out = _over_blocks(rows.data, chain([first, second], blocks), window, True).data
+        rows.remove()
+    listed = F.array_sort(F.array_distinct(F.filter("items", lambda x: x.isNotNull())))
+    return out.select(F.col("doc_id").alias(id_col), "n_words", "spans", listed.alias("items"))
+
+
+def _found_schema(rows: DataFrame) -> T.StructType:
+    return T.StructType(
         [
-            T.StructField("doc_id", docs.schema[id_col].dataType),
-            T.StructField("text", T.StringType()),
+            T.StructField("row", T.LongType()),
+            T.StructField("doc_id", rows.schema["doc_id"].dataType),
             T.StructField("n_words", T.LongType()),
             T.StructField("spans", _SPANS),
             T.StructField("items", T.ArrayType(T.StringType())),
         ]
     )
-    spark = docs.sparkSession
-    blocks = [spark.sparkContext.broadcast((b, window)) for b in item_blocks(benchmark, item_id_col, item_text_col, block_words)]
-    empty = F.array().cast(_SPANS), F.array().cast("array<string>")
-    out = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.lit(0).cast("long").alias("n_words"), empty[0].alias("spans"), empty[1].alias("items"))
-    for block in blocks or [spark.sparkContext.broadcast(([], window))]:
-        out = out.mapInArrow(_pass(block), schema)
-    listed = F.array_sort(F.array_distinct(F.filter("items", lambda x: x.isNotNull())))
-    return out.select(F.col("doc_id").alias(id_col), "n_words", "spans", listed.alias("items"))
 
 
-def _pass(shared):
+def _finder(shared, every: bool):
+    """What a broadcast block finds in rows (row, doc_id, text): in every row, or only rows with spans."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = _automaton(shared)
+        automaton = SuffixAutomaton(*shared.value)
         for batch in batches:
-            counts, spans, items = [], [], []
-            for text, old_spans, old_items in zip(utf8(batch.column(1)), _spans(batch.column(3)), batch.column(4).to_pylist()):
+            kept, counts, spans, items = [], [], [], []
+            for i, text in enumerate(utf8(batch.column(2))):
                 words = alnum_words(text)
                 found, names = automaton.scan(words)
-                counts.append(len(words))
-                spans.append([{"first": a, "end": b} for a, b in (_merged(old_spans, found) if old_spans else found)])
-                items.append([*old_items, *names])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(spans, _ARROW_SPANS), pa.array(items, pa.list_(pa.string()))], names=["doc_id", "text", "n_words", "spans", "items"])
+                if every or found:
+                    kept.append(i)
+                    counts.append(len(words))
+                    spans.append([{"first": a, "end": b} for a, b in found])
+                    items.append([*names])
+            at = pa.array(kept, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(counts, pa.int64()), pa.array(spans, _ARROW_SPANS), pa.array(items, pa.list_(pa.string()))], names=["row", "doc_id", "n_words", "spans", "items"])
 
     return work
 
 
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        spans = [[{"first": a, "end": b} for a, b in _merged([], row)] for row in _spans(batch.column(3))]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(spans, _ARROW_SPANS), batch.column(4)], names=batch.schema.names)
+
+
+def _over_blocks(rows: DataFrame, blocks: Iterable[list], window: int, every: bool) -> WrittenTable:
+    """What all blocks find in the written `rows` (row, doc_id, text), by row.
+
+    Each block is a job of its own: a worker holds one automaton and the driver one block, whatever their number. Only
+    narrow rows are written and grouped; texts are read once for each block and do not move.
+    """
+    spark, schema, parts = rows.sparkSession, _found_schema(rows), []
+    for block in blocks:
+        shared = spark.sparkContext.broadcast((block, window))
+        parts.append(write_once(rows.mapInArrow(_finder(shared, every and not parts), schema), "block"))
+        shared.destroy()
+    found = spark.read.schema(schema).parquet(*[part.path for part in parts])
+    lists = [F.flatten(F.collect_list(c)).alias(c) for c in ("spans", "items")]
+    found = found.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"), *lists)
+    merged = write_once(found.mapInArrow(_merge, schema), "spans")
+    for part in parts:
+        part.remove()
+    return merged
+
+
+def _free(name: str, taken: list[str]) -> str:
+    """A column name like `name` that is not taken."""
+    while name.lower() in {c.lower() for c in taken}:
+        name += "_"
+    return name
+
+
 def _without(data: bytes, spans: Spans) -> bytes:
     """The text without the words of the spans and what stands between them."""
     plain = np.frombuffer(b" " + data.translate(_ALNUM) + b" ", np.uint8) != 0x20
@@ -277,10 +310,10 @@ def decontaminate(
     unchanged. Null and empty texts stay; empty tables and repeated rows are taken as they are.
 
     The result does not depend on the blocks. One block needs one pass; with several, the documents are
-    written, and those that were cut pass all blocks again.
+    written, pass them one after the other, and those that were cut pass all blocks again.
     """
-    spark = docs.sparkSession
-    blocks = [spark.sparkContext.broadcast((b, window)) for b in item_blocks(benchmark, item_id_col, item_text_col, block_words)]
+    blocks = lambda: item_blocks(benchmark, item_id_col, item_text_col, block_words)
+    few = list(islice(blocks(), 2))
     position, schema = docs.columns.index(text_col), docs.schema
     chars = docs.columns.index(chars_col) if chars_col in docs.columns else None
 
@@ -300,7 +333,7 @@ def decontaminate(
 
     def rewrite(shared):
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            automaton = _automaton(shared)
+            automaton = SuffixAutomaton(*shared.value)
             for batch in batches:
                 texts, keep, changed = utf8(batch.column(position)), [], {}
                 for i, text in enumerate(texts):
@@ -315,18 +348,9 @@ def decontaminate(
 
         return work
 
-    if len(blocks) <= 1:
-        return docs.mapInArrow(rewrite(blocks[0]), schema) if blocks else docs
-
-    def find(shared):
-        def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            automaton = _automaton(shared)
-            for batch in batches:
-                spans = [_merged(old, automaton.scan(alnum_words(text))[0]) for text, old in zip(utf8(batch.column(position)), _spans(batch.columns[-1]))]
-                found = pa.array([[{"first": a, "end": b} for a, b in row] for row in spans], _ARROW_SPANS)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], names=batch.schema.names)
-
-        return work
+    if len(few) <= 1:
+        return docs.mapInArrow(rewrite(docs.sparkSession.sparkContext.broadcast((few[0], window))), schema) if few else docs
+    row_col, spans_col, cut_col = (_free(name, docs.columns) for name in ("_row", "_spans", "_cut"))
 
     def cut(whole: bool):
         """Cut the spans; of `whole` documents, drop those with too many words in them."""
@@ -339,17 +363,22 @@ def decontaminate(
                     if spans and keep[-1]:
                         changed[i] = _without(texts[i], spans)
                 was_cut = pa.array([i in changed for i in range(len(texts))], pa.bool_())
-                yield pa.RecordBatch.from_arrays([*with_texts(batch, texts, changed), was_cut], names=[*batch.schema.names[:-1], "_cut"]).filter(pa.array(keep, pa.bool_()))
+                yield pa.RecordBatch.from_arrays([*with_texts(batch, texts, changed), was_cut], names=[*batch.schema.names[:-1], cut_col]).filter(pa.array(keep, pa.bool_()))
 
         return work
 
     parts, todo, whole = [], docs, True
     while True:
-        found = todo.withColumn("_spans", F.array().cast(_SPANS))
-        for block in blocks:
-            found = found.mapInArrow(find(block), T.StructType([*schema.fields, T.StructField("_spans", _SPANS)]))
-        table = write_once(found.mapInArrow(cut(whole), T.StructType([*schema.fields, T.StructField("_cut", T.BooleanType())])), "decontaminated")
-        parts.append(table.data.where("NOT _cut").drop("_cut"))
-        todo, whole = table.data.where("_cut").drop("_cut"), False
+        held = write_once(todo.withColumn(row_col, F.monotonically_increasing_id()), "to-scan")
+        rows = held.data.select(F.col(row_col).alias("row"), F.lit(None).cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+        found = _over_blocks(rows, blocks(), window, False)
+        spans = WrittenTable(found.data.select(F.col("row").alias(row_col), F.col("spans").alias(spans_col)), found.rows, found.path)
+        joined = held.data.join(spans.sized_for_join(), row_col, "left")
+        joined = joined.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce(spans_col, F.array().cast(_SPANS)).alias(spans_col))
+        table = write_once(joined.mapInArrow(cut(whole), T.StructType([*schema.fields, T.StructField(cut_col, T.BooleanType())])), "decontaminated")
+        held.remove()
+        found.remove()
+        parts.append(table.data.where(~F.col(cut_col)).drop(cut_col))
+        todo, whole = table.data.where(cut_col).drop(cut_col), False
         if todo.isEmpty():
             return reduce(DataFrame.union, parts)
