@@ -13,7 +13,6 @@ import re
 import sys
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +25,7 @@ register_pickle_by_value(sys.modules[__name__])
 
 _ENDS = "file string, block long, bytes long, size long, first string, " + ", ".join(f"inside_{h} boolean, closes_{h} long, opens_{h} string" for h in "ab")
 _BEGINS = "file string, block long, inside boolean, stack string, root string, origin long, last boolean, terminated boolean"
-_PIECE = "file string, block long, origin long, record string, outline string"
+_PIECE = "file string, block long, origin long, record string, outline string, cut boolean"
 _TOKEN = re.compile(r'\\.|["\[\]{}]', re.S)
 
 
@@ -65,22 +64,43 @@ def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)], schema=schema)
 
 
-def _chain(blocks: pd.DataFrame) -> pd.DataFrame:
-    """How each block of a file begins, and in which block the item that it begins in began."""
-    blocks = blocks.sort_values("block")
-    # The text behind the last brace is a piece too, but no brace ends it. Sizes tell, unless the file is compressed.
-    terminated = bool(blocks["bytes"].sum() == blocks["size"].iloc[0])
-    root = next((f for f in blocks["first"] if isinstance(f, str)), "")
-    level = 1 if root == "[" else 2
-    rows, inside, stack, origin = [], False, "", 0
-    for n, b in enumerate(blocks.itertuples()):
-        rows.append((b.file, b.block, inside, stack, root, origin, n + 1 == len(blocks), terminated))
-        closes, opens = (b.closes_b, b.opens_b) if inside else (b.closes_a, b.opens_a)
-        if len(stack) - closes <= level:
-            origin = b.block
-        stack = stack[: max(len(stack) - closes, 0)] + opens
-        inside = b.inside_b if inside else b.inside_a
-    return pd.DataFrame(rows, columns=["file", "block", "inside", "stack", "root", "origin", "last", "terminated"])
+def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How each block of a file begins, and in which block the item that it begins in began.
+
+    Rows come sorted by file and block; those of one file are held at a time.
+    """
+    names = ["file", "block", "inside", "stack", "root", "origin", "last", "terminated"]
+    kinds = [pa.string(), pa.int64(), pa.bool_(), pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.bool_()]
+
+    def begins(blocks: list[tuple]) -> Iterator[tuple]:
+        # The text behind the last brace is a piece too, but no brace ends it. Sizes tell, unless the file is compressed.
+        terminated = sum(b[2] for b in blocks) == blocks[0][3]
+        root = next((b[4] for b in blocks if b[4] is not None), "")
+        level = 1 if root == "[" else 2
+        inside, stack, origin = False, "", 0
+        for n, (file, block, _, _, _, *ends) in enumerate(blocks):
+            yield file, block, inside, stack, root, origin, n + 1 == len(blocks), terminated
+            now_inside, closes, opens = ends[3:] if inside else ends[:3]
+            if len(stack) - closes <= level:
+                origin = block
+            stack = stack[: max(len(stack) - closes, 0)] + opens
+            inside = now_inside
+
+    def batch_of(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
+
+    held: list[tuple] = []
+    for batch in batches:
+        out: list[tuple] = []
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if held and held[0][0] != row[0]:
+                out += begins(held)
+                held = []
+            held.append(row)
+        if out:
+            yield batch_of(out)
+    if held:
+        yield batch_of([*begins(held)])
 
 
 class _Block:
@@ -95,6 +115,7 @@ class _Block:
         self.item: list[str] = []
         self.gap: list[str] = []
         self.outline: list[str] = []
+        self.cut = self.in_item
 
     def add(self, piece: str, ended: bool) -> list[str | tuple[int, str]]:
         """Items that end in a piece; one that began in an earlier block comes with that block."""
@@ -109,7 +130,7 @@ class _Block:
                 if token == "{" and not self.in_item and self.stack == self.prefix:
                     self.gap.append(text[at : match.start()])
                     self._close_gap()
-                    self.in_item, at = True, match.start()
+                    self.in_item, self.cut, at = True, True, match.start()
                 self.stack.append(token)
             else:
                 if self.stack:
@@ -136,12 +157,12 @@ class _Block:
 
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Items of the blocks, pieces of cut items under the block where they begin, and the outline of each block."""
-    schema = pa.schema([("file", pa.string()), ("block", pa.int64()), ("origin", pa.int64()), ("record", pa.string()), ("outline", pa.string())])
+    """Items of the blocks, pieces of cut items under the block where they begin, and the outline of each block, with whether an item was cut out of it."""
+    schema = pa.schema([("file", pa.string()), ("block", pa.int64()), ("origin", pa.int64()), ("record", pa.string()), ("outline", pa.string()), ("cut", pa.bool_())])
     block, held = None, None
 
     def rows(found) -> list[tuple]:
-        return [(*block.key, None, r, None) if isinstance(r, str) else (*block.key, *r, None) for r in found]
+        return [(*block.key, None, r, None, None) if isinstance(r, str) else (*block.key, *r, None, None) for r in found]
 
     def finish() -> list[tuple]:
         if block is None:
@@ -149,7 +170,7 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Whether a brace ends the last piece of a file is known from its size; else an open bracket tells.
         out = rows(block.add(held, not block.last or block.terminated))
         begun, outline = block.end()
-        return out + ([(*block.key, *begun, None)] if begun else []) + [(*block.key, None, None, outline)]
+        return out + ([(*block.key, *begun, None, None)] if begun else []) + [(*block.key, None, None, outline, block.cut)]
 
     def batch_of(out: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
@@ -170,16 +191,16 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def document_items(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
-    """(file, record) of the items of the documents' arrays or lists, and (file, outline) of each document.
+    """(file, record) of the items of the documents' arrays or lists, and (file, outline, cut) of each document.
 
     Items are the objects of an array that is the root, or of lists of an object that is. An outline is the
-    document with an empty object in place of each run of items that only commas part.
+    document with an empty object in place of each run of items that only commas part; without an item to cut it is the document.
     """
     text = spark.read.option("lineSep", "}").text(path)
     meta = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
     pieces = text.select(*meta, F.col("_metadata.file_size").alias("size"), F.col("value").alias("piece"), F.monotonically_increasing_id().alias("place"))
     ends = pieces.select("file", "block", "size", "piece").mapInArrow(_ends, _ENDS)
-    blocks = write_once(ends.groupBy("file").applyInPandas(_chain, _BEGINS), "json-blocks")
+    blocks = write_once(ends.repartition("file").sortWithinPartitions("file", "block").mapInArrow(_chain, _BEGINS), "json-blocks")
     # A small row for each block of the input. A broadcast join leaves pieces in place, a shuffled one mixes them up.
     small = blocks.rows <= BROADCAST_ROWS and stored_bytes(spark, blocks.path) <= BROADCAST_BYTES
     placed = pieces.join(F.broadcast(blocks.data) if small else blocks.data, ["file", "block"])
@@ -189,5 +210,5 @@ def document_items(spark: SparkSession, path: str | list[str]) -> tuple[DataFram
     joined = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block", c))), lambda p: p[c]), "")
     whole = found.where("record IS NOT NULL AND origin IS NULL").select("file", "record")
     cut = found.where("origin IS NOT NULL").groupBy("file", "origin").agg(joined("record").alias("record")).drop("origin")
-    outlines = found.where("outline IS NOT NULL").groupBy("file").agg(joined("outline").alias("outline"))
+    outlines = found.where("outline IS NOT NULL").groupBy("file").agg(joined("outline").alias("outline"), F.max("cut").alias("cut"))
     return whole.unionByName(cut), outlines

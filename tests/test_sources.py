@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Observation
 from pyspark.sql import types as T
 
+from reviewsieve.plans import catalog
 from reviewsieve.sources import (
     RAW_REVIEW_SCHEMA,
     append_clean,
@@ -352,3 +353,27 @@ def test_streamed_csv(spark, tmp_path):
     query = stream.drop("_file_place").writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/cp").trigger(availableNow=True).start()
     query.awaitTermination()
     assert rows(spark.read.parquet(f"{tmp_path}/out")) == [(1, "x\ny"), (2, "z")]
+
+
+def test_plain_documents_are_not_read_by_name(spark, tmp_path):
+    """A document out of which no item was cut is taken from its outline; only one with a list of objects is read again."""
+    folders = [tmp_path / name for name in ("arrays", "plain", "lists")]
+    for folder in folders:
+        folder.mkdir()
+        put(folder, "a.json", '[{"a": 1, "t": "x"}, {"a": 2, "t": "}{"}]')
+    put(folders[1], "b.json", '\ufeff{"a": 3, "t": "y", "n": [1, 2], "o": {"p": {}}}\n')
+    put(folders[1], "c.json", '{"a": 4, "t": "{\\"}"}')
+    put(folders[2], "d.json", '{"a": 5, "t": "z", "n": [{"q": 1}], "m": [1]}')
+    frames = [read_json_document(spark, str(folder), SCHEMA) for folder in folders]
+    scans = [df._jdf.queryExecution().optimizedPlan().toString().count("] text") for df in frames]
+    assert scans[0] == scans[1] == scans[2] - 1
+    assert [sorted(r.a for r in df.collect()) for df in frames] == [[1, 2], [1, 2, 3, 4], [1, 2, 5]]
+    assert {r.a: r.t for r in frames[1].collect()} == {1: "x", 2: "}{", 3: "y", 4: '{"}'}
+
+
+def test_document_query_writes_a_file_for_many_documents(spark, monkeypatch):
+    paths = []
+    monkeypatch.setattr(catalog, "read_json_document", lambda spark, path, schema: paths.append(path) or read_json_document(spark, path, schema))
+    found = catalog.read_json_document_query(spark, "/root/testdata/sf0.01")
+    files = spark.read.text(paths[0]).select("_metadata.file_path").distinct().count()
+    assert files <= 4 * (found.count() // (4 * catalog.RECORDS_IN_FILE) + 1)
